@@ -101,16 +101,23 @@ def dim_product(products: DataFrame, category_translation: DataFrame) -> DataFra
 
 
 def dim_payment_type(spark: SparkSession) -> DataFrame:
+    """Seed rows; their keys follow the order of the list."""
     return spark.createDataFrame(
-        PAYMENT_TYPES,
-        "payment_type_code string, payment_type_name string, payment_category string, risk_level string",
+        [(key, *row) for key, row in enumerate(PAYMENT_TYPES, 1)],
+        "payment_type_key bigint, payment_type_code string, payment_type_name string, payment_category string, "
+        "risk_level string",
     )
 
 
 def dim_order_status(spark: SparkSession) -> DataFrame:
-    rows = [(code, code.replace("_", " ").title(), final, problem) for code, final, problem in ORDER_STATUSES]
+    """Seed rows; their keys follow the order of the list."""
+    rows = [
+        (key, code, code.replace("_", " ").title(), final, problem)
+        for key, (code, final, problem) in enumerate(ORDER_STATUSES, 1)
+    ]
     return spark.createDataFrame(
-        rows, "status_code string, status_name string, is_final_status int, is_problem_status int"
+        rows,
+        "order_status_key bigint, status_code string, status_name string, is_final_status int, is_problem_status int",
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quaystar.operators import dimensions, facts
 from quaystar.operators.numbering import append_keys, assign_keys
+from quaystar.operators.rates import upsert_rates
 from quaystar.schema import SOURCES, TABLES
 from quaystar.sources.tables import TableStore
 
@@ -86,7 +87,7 @@ class Warehouse:
 
     def _keyed(self, name: str, rows: DataFrame) -> DataFrame:
         table = TABLES[name]
-        if table.identity:
+        if table.identity and table.identity not in rows.columns:
             if name.startswith("fact_"):
                 # Numbering reads its input twice; the joins behind a fact should run once.
                 rows = self.store.replace(f"{name}__rows", rows)
@@ -103,6 +104,18 @@ class Warehouse:
             fresh = rows.join(existing, list(table.business_key), "left_anti").select(*rows.columns)
         return self.store.append(name, table.shape(fresh))
 
+    def merge_rates(self, fetched: DataFrame) -> DataFrame:
+        """Upsert fetched rates; rows that were there keep their key."""
+        table = TABLES["dim_exchange_rate"]
+        if self.store.exists("dim_exchange_rate"):
+            stored = self.store.read("dim_exchange_rate")
+        else:
+            stored = self.spark.createDataFrame([], table.schema())
+        merged = upsert_rates(stored, fetched)
+        known = merged.join(stored.select(*table.business_key, table.identity), list(table.business_key))
+        fresh = append_keys(merged, stored, table.business_key, table.identity)
+        return self.store.replace("dim_exchange_rate", table.shape(known).unionByName(table.shape(fresh)))
+
     def load(self, force: bool = False) -> dict[str, str]:
         """Run all steps in order; a failing step stops the load. Tables with rows are skipped unless forced."""
         done = {}

@@ -35,3 +35,15 @@ def shared_folder(spark: SparkSession) -> str:
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder
+
+
+def table_files(spark: SparkSession, folder: str, tables: tuple[str, ...]) -> str:
+    """Path, size and time of the files behind the tables: a text that changes when they do."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for table in tables:
+        path = hadoop.Path(f"{folder.rstrip('/')}/{table}.parquet")
+        status = path.getFileSystem(configuration).getFileStatus(path)
+        found.append(f"{status.getPath()} {status.getLen()} {status.getModificationTime()}")
+    return "\n".join(found)

@@ -212,7 +212,7 @@ ORACLES: dict[str, str] = {
     "agg_monthly_sales": "SELECT * FROM agg_monthly_sales",
     "scd2_hash": "SELECT product_id, scd_hash FROM scd2_initial",
     "scd2_initial": """
-        SELECT row_number() OVER (ORDER BY substr(md5(product_id || '|1900-01-01 00:00:00'), 1, 3), product_id)
+        SELECT row_number() OVER (ORDER BY substr(md5(product_id || '|1900-01-01 00:00:00'), 1, 4), product_id)
                    AS product_scd_key, *
         FROM scd2_initial""",
     "scd2_changes": f"""

@@ -33,7 +33,7 @@ def date_key(ts: str) -> str:
 
 
 def identity(key: str) -> str:
-    return f"row_number() OVER (ORDER BY substr(md5({key}), 1, 3), {key})"
+    return f"row_number() OVER (ORDER BY substr(md5({key}), 1, 4), {key})"
 
 
 def ratio(num: str, den: str, decimal: str) -> str:

@@ -154,7 +154,10 @@ def fact_reviews(
     dim_seller: DataFrame,
     dim_date: DataFrame,
 ) -> DataFrame:
-    """One row per review, credited to the first line of its order; reviews of orders without lines have no row."""
+    """One row per review, credited to the first line of its order; reviews of orders without lines have no row.
+
+    The review id comes along to number the rows and is not part of the table.
+    """
     credited = (
         first_item(order_items)
         .join(dim_product.select("product_id", "product_key"), "product_id")
@@ -170,6 +173,7 @@ def fact_reviews(
         order_reviews.withColumn("review_date_key", date_key(created))
         .join(_calendar(dim_date, "review_date_key"), "review_date_key", "left_semi")
         .select(
+            "review_id",
             "order_id",
             "review_date_key",
             "review_score",
@@ -183,6 +187,7 @@ def fact_reviews(
         .join(customers.select("order_id", "customer_key"), "order_id")
         .join(credited, "order_id")
         .select(
+            "review_id",
             "order_id",
             "customer_key",
             "product_key",

@@ -18,8 +18,8 @@ from quaystar.session import shared_folder
 HOT_GROUP_ROWS = 2_000_000
 # Up to this many rows a plain window in one task is cheaper than a range partition.
 ONE_TASK_ROWS = 1_000_000
-# Hex digits of the hash that make a bucket: 16**3 = 4096 buckets.
-BUCKET_DIGITS = 3
+# Hex digits of the hash that make a bucket: 16**4 = 65,536 buckets, about 1.5 million rows each for 10**11 rows.
+BUCKET_DIGITS = 4
 
 
 def hash_bucket(columns: Sequence[str], digits: int = BUCKET_DIGITS) -> Column:

@@ -215,7 +215,7 @@ def _keyed(name: str) -> Query:
 
 
 def _insert_rows(name: str) -> Query:
-    return lambda spark, folder: warehouse(spark, folder).insert_rows(name)
+    return lambda spark, folder: warehouse(spark, folder).insert_rows(name).select(*TABLES[name].insert_list())
 
 
 def _with_use(dimension: DataFrame, key: str, used: DataFrame, name: str) -> DataFrame:

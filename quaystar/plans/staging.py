@@ -57,7 +57,7 @@ class StagingLoad:
         table = source.table
         scanned = scan_csv(self.spark, f"{self.folder}/{source.files}", source)
         # Written once, since the counts, the good rows and the rejects are three readings.
-        checked = self.store.replace(f"{table}__checked", typed(scanned, source))
+        checked = self.store.written(f"{table}__checked", typed(scanned, source))
         counts = load_counts(checked, source.key).first()
         good, refused = first_per_key(accepted(checked), source.key), rejected(checked)
         if source.parent:

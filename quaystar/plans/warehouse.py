@@ -90,7 +90,7 @@ class Warehouse:
         if table.identity and table.identity not in rows.columns:
             if name.startswith("fact_"):
                 # Numbering reads its input twice; the joins behind a fact should run once.
-                rows = self.store.replace(f"{name}__rows", rows)
+                rows = self.store.written(f"{name}__rows", rows)
             rows = assign_keys(rows, table.business_key, table.identity)
         return table.shape(rows)
 

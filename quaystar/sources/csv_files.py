@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quaystar.operators.ingest import null_tokens
 from quaystar.schema import Source
+from quaystar.session import shared_folder
 
 OPTIONS = {"quote": '"', "escape": '"', "maxCharsPerColumn": "-1"}
 BYTE_ORDER_MARK = "﻿"
@@ -57,6 +58,9 @@ def scan_split_csv(spark: SparkSession, path: str) -> DataFrame:
     numbered = lines.withColumn("line", F.row_number().over(in_block)).withColumn(
         "shift", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2
     )
+    # Written once: a second scan could cut the files into other blocks, if executors have come or gone meanwhile.
+    shared_folder(spark)
+    numbered = numbered.drop("position").checkpoint()
     # Blocks are bounded by spark.sql.files.maxPartitionBytes, so this table has one row per that many bytes.
     blocks = numbered.groupBy("file", "block").agg(
         F.sum("odd").alias("odds"),
@@ -87,7 +91,8 @@ def scan_split_csv(spark: SparkSession, path: str) -> DataFrame:
     )
     alone = placed.where(F.col("starts") & (F.col("odd") == 0)).select("value")
     # The start of the record a line belongs to: in its block, or carried over from an earlier one.
-    start = F.max(F.when(F.col("starts"), F.col("line"))).over(in_block)
+    up_to_here = Window.partitionBy("file", "block").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    start = F.max(F.when(F.col("starts"), F.col("line"))).over(up_to_here)
     pieces = placed.withColumn("start", start).where(~(F.col("starts") & (F.col("odd") == 0)))
     joined = (
         pieces.withColumn(
@@ -103,7 +108,7 @@ def scan_split_csv(spark: SparkSession, path: str) -> DataFrame:
     schema = ", ".join(f"`c{i}` string" for i in range(len(columns)))
     records = (
         alone.unionByName(joined)
-        .select(F.regexp_replace("value", "\r$", "").alias("value"))
+        .select(F.regexp_replace("value", "\\r\\z", "").alias("value"))
         .where(F.col("value") != "")
         .select(F.from_csv("value", schema, {**OPTIONS, "multiLine": "true"}).alias("row"))
     )

@@ -50,11 +50,18 @@ class TableStore:
         kept = self._parts.get(table, []) if mode == "append" else []
         self._parts[table] = [*kept, part]
 
+    def written(self, table: str, rows: DataFrame) -> DataFrame:
+        """Intermediate rows, read back from the shared folder; they are no table."""
+        return self._put(f"{table}/{uuid.uuid4().hex}", rows)
+
+    def _put(self, folder: str, rows: DataFrame) -> DataFrame:
+        rows.write.parquet(f"{self.root}/{folder}")
+        return self.spark.read.schema(rows.schema).parquet(f"{self.root}/{folder}")
+
     def _write(self, table: str, rows: DataFrame, mode: str) -> DataFrame:
         folder = f"{table}/{uuid.uuid4().hex}"
-        rows.write.parquet(f"{self.root}/{folder}")
+        count = self._put(folder, rows).count()
         self._schemas[table] = rows.schema
-        count = self.spark.read.schema(rows.schema).parquet(f"{self.root}/{folder}").count()
         self._sequence += 1
         commit = self.spark.range(1).select(
             F.lit(self._sequence).cast("bigint").alias("sequence"),

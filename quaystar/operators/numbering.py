@@ -1,8 +1,8 @@
 """Numbering over whole tables without a single-task sort.
 
-A window without PARTITION BY sorts the whole table in one task. The three operators here give the same numbers from
-balanced tasks: keys by hash bucket, ordered positions by range partition, and positions inside a group with the few
-oversized groups taken out and range partitioned.
+A window without PARTITION BY sorts the whole table in one task. The operators here number in balanced tasks: keys by
+hash bucket, or by place in files already written; ordered positions by range partition; positions inside a group with
+the few oversized groups taken out and range partitioned.
 """
 
 from __future__ import annotations
@@ -51,11 +51,37 @@ def assign_keys(
     )
 
 
+def assign_keys_in_files(written: DataFrame, key: str, start: Column | int = 0) -> DataFrame:
+    """Dense surrogate keys for Parquet rows as read from their files: no shuffle and no sort of the rows.
+
+    Written files do not change, so file name and row index are a fixed place. The offsets have one row per file.
+    """
+    file, row = F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        written.groupBy(file).count().select("_file", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
+    )
+    start = F.lit(start) if isinstance(start, int) else start
+    return (
+        written.select("*", file, row)
+        .join(offsets, "_file")
+        .select((start + F.col("_offset") + F.col("_row") + 1).cast("long").alias(key), *written.columns)
+    )
+
+
+def unknown_rows(rows: DataFrame, existing: DataFrame, business_key: Sequence[str]) -> DataFrame:
+    """The rows whose business key is not there yet."""
+    return rows.join(existing.select(*business_key), list(business_key), "left_anti").select(*rows.columns)
+
+
+def highest_key(existing: DataFrame, key: str) -> Column:
+    return existing.agg(F.coalesce(F.max(key), F.lit(0))).scalar()
+
+
 def append_keys(new_rows: DataFrame, existing: DataFrame, business_key: Sequence[str], key: str) -> DataFrame:
     """Keys for the rows whose business key is not there yet; they go on after the highest key in use."""
-    unknown = new_rows.join(existing.select(*business_key), list(business_key), "left_anti")
-    highest = existing.agg(F.coalesce(F.max(key), F.lit(0))).scalar()
-    return assign_keys(unknown.select(*new_rows.columns), business_key, key, highest)
+    unknown = unknown_rows(new_rows, existing, business_key)
+    return assign_keys(unknown, business_key, key, highest_key(existing, key))
 
 
 def global_positions(rows: DataFrame, order: Sequence[str], name: str) -> DataFrame:

@@ -5,10 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from quaystar.operators import dimensions, facts
-from quaystar.operators.numbering import append_keys, assign_keys
+from quaystar.operators.numbering import (
+    append_keys,
+    assign_keys,
+    assign_keys_in_files,
+    highest_key,
+    unknown_rows,
+)
 from quaystar.operators.rates import upsert_rates
 from quaystar.schema import SOURCES, TABLES
 from quaystar.sources.tables import TableStore
@@ -85,24 +91,25 @@ class Warehouse:
     def build(self, name: str) -> DataFrame:
         return self.store.replace(name, self._keyed(name, self.insert_rows(name)))
 
-    def _keyed(self, name: str, rows: DataFrame) -> DataFrame:
+    def _keyed(self, name: str, rows: DataFrame, start: Column | int = 0) -> DataFrame:
+        """Rows in the shape of the table, with surrogate keys after `start`.
+
+        Keys of dimensions depend on their business keys only. Nothing refers to the keys of facts, so those follow the
+        written rows, which spares the largest tables a shuffle; the joins behind a fact run once.
+        """
         table = TABLES[name]
         if table.identity and table.identity not in rows.columns:
             if name.startswith("fact_"):
-                # Numbering reads its input twice; the joins behind a fact should run once.
-                rows = self.store.written(f"{name}__rows", rows)
-            rows = assign_keys(rows, table.business_key, table.identity)
+                rows = assign_keys_in_files(self.store.written(f"{name}__rows", rows), table.identity, start)
+            else:
+                rows = assign_keys(rows, table.business_key, table.identity, start)
         return table.shape(rows)
 
     def append_new(self, name: str, rows: DataFrame) -> DataFrame:
         """Append the rows whose business key is not stored yet; stored rows and keys stay as they are."""
-        table = TABLES[name]
-        existing = self.table(name)
-        if table.identity:
-            fresh = append_keys(rows, existing, table.business_key, table.identity)
-        else:
-            fresh = rows.join(existing, list(table.business_key), "left_anti").select(*rows.columns)
-        return self.store.append(name, table.shape(fresh))
+        table, existing = TABLES[name], self.table(name)
+        start = highest_key(existing, table.identity) if table.identity else 0
+        return self.store.append(name, self._keyed(name, unknown_rows(rows, existing, table.business_key), start))
 
     def merge_rates(self, fetched: DataFrame) -> DataFrame:
         """Upsert fetched rates; rows that were there keep their key."""

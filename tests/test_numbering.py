@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from quaystar.operators.numbering import (
     append_keys,
     assign_keys,
+    assign_keys_in_files,
     global_positions,
     ntile_over_all,
     positions_in_group,
@@ -73,3 +74,14 @@ def test_positions_in_a_hot_group(spark, hot_group_rows):
         seen[group] = seen.get(group, 0) + 1
         expected[number] = seen[group]
     assert {row.id: row.n for row in placed.collect()} == expected
+
+
+def test_keys_in_files(spark, tmp_path):
+    frame = spark.range(1000).repartition(7)
+    frame.write.option("maxRecordsPerFile", 60).parquet(str(tmp_path / "t"))
+    written = spark.read.parquet(str(tmp_path / "t"))
+    keyed = assign_keys_in_files(written, "key", 100)
+    found = keyed.collect()
+    assert sorted(row.key for row in found) == list(range(101, 1101))
+    assert sorted(row.id for row in found) == list(range(1000))
+    assert sorted(map(tuple, keyed.collect())) == sorted(map(tuple, found))

@@ -263,7 +263,7 @@ PARTS: dict[str, str] = {
     "orders_pln": f"""
         SELECT order_id, customer_key, order_date_key, total_order_value AS total_order_value_brl,
                rate_value AS brl_to_pln_rate,
-               {money('CAST(total_order_value AS DECIMAL(18,2)) * rate_value')} AS total_order_value_pln,
+               {money('total_order_value * rate_value')} AS total_order_value_pln,
                rate_date AS exchange_rate_date
         FROM fact_orders CROSS JOIN latest_rate""",
     "scd2_initial": f"""

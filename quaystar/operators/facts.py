@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quaystar.functions.columns import MONEY, date_key, flag, ratio, text_length
+from quaystar.operators.skew import hot_keys, lookup_join
 
 
 def _calendar(dim_date: DataFrame, key: str) -> DataFrame:
@@ -164,12 +165,16 @@ def fact_reviews(
         .join(dim_seller.select("seller_id", "seller_key"), "seller_id")
         .select("order_id", "product_key", "seller_key")
     )
-    customers = orders.select("order_id", "customer_id").join(
-        dim_customer.select("customer_id", "customer_key"), "customer_id"
+    # What a review takes from its order. An order may have any number of reviews, so its hot keys are split off.
+    per_order = (
+        orders.select("order_id", "customer_id")
+        .join(dim_customer.select("customer_id", "customer_key"), "customer_id")
+        .select("order_id", "customer_key")
+        .join(credited, "order_id")
     )
     created, answered = F.col("review_creation_date"), F.col("review_answer_timestamp")
     length = F.coalesce(text_length(F.col("review_comment_message")), F.lit(0))
-    return (
+    reviews = (
         order_reviews.withColumn("review_date_key", date_key(created))
         .join(_calendar(dim_date, "review_date_key"), "review_date_key", "left_semi")
         .select(
@@ -184,24 +189,8 @@ def fact_reviews(
             "review_answer_timestamp",
             F.datediff(answered.cast("date"), created.cast("date")).alias("days_to_answer"),
         )
-        .join(customers.select("order_id", "customer_key"), "order_id")
-        .join(credited, "order_id")
-        .select(
-            "review_id",
-            "order_id",
-            "customer_key",
-            "product_key",
-            "seller_key",
-            "review_date_key",
-            "review_score",
-            "review_comment_length",
-            "is_positive_review",
-            "has_comment",
-            "review_creation_time",
-            "review_answer_timestamp",
-            "days_to_answer",
-        )
     )
+    return lookup_join(reviews, per_order, "order_id", hot_keys(order_reviews, "order_id"))
 
 
 def fact_payments(
@@ -254,9 +243,9 @@ def monthly_sales(
     revenue, orders = F.sum("revenue"), F.count("*")
     score_sum = F.sum(F.col("score") * F.col("lines"))
     scored_lines = F.sum(F.when(F.col("score").isNotNull(), F.col("lines")))
+    attributes = fact_orders.select("order_id", "is_delayed").join(scores, "order_id", "left")
     return (
-        per_order.join(fact_orders.select("order_id", "is_delayed"), "order_id")
-        .join(scores, "order_id", "left")
+        lookup_join(per_order, attributes, "order_id", hot_keys(fact_items, "order_id"))
         .join(F.broadcast(months), "order_date_key")
         .groupBy("year", "month", "category_name_en", "seller_key")
         .agg(

@@ -12,10 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quaystar.operators.skew import hot_keys
 from quaystar.session import shared_folder
 
-# One task numbers up to this many rows of one group; larger groups are split.
-HOT_GROUP_ROWS = 2_000_000
 # Up to this many rows a plain window in one task is cheaper than a range partition.
 ONE_TASK_ROWS = 1_000_000
 # Hex digits of the hash that make a bucket: 16**4 = 65,536 buckets, about 1.5 million rows each for 10**11 rows.
@@ -129,19 +128,17 @@ def ntile_over_all(
 
 
 def positions_in_group(
-    rows: DataFrame, group: str, order: Sequence[str], name: str, hot_group_rows: int = HOT_GROUP_ROWS
+    rows: DataFrame, group: str, order: Sequence[str], name: str, hot_rows: int | None = None
 ) -> DataFrame:
     """row_number() per group, also when one group holds a large share of the table.
 
-    Groups up to `hot_group_rows` use a plain window. There are at most rows / hot_group_rows larger groups; their rows
-    are numbered by range partition on (group, order), less the first position of their group.
+    Groups of ordinary size use a plain window. The rows of the hot ones are numbered by range partition on
+    (group, order), less the first position of their group.
     """
-    shared_folder(rows.sparkSession)
     plain = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    hot = rows.groupBy(group).count().where(F.col("count") > hot_group_rows).select(group).checkpoint()
-    if hot.isEmpty():
+    hot = hot_keys(rows, group, hot_rows)
+    if hot is None:
         return rows.withColumn(name, plain)
-    hot = F.broadcast(hot)
     small = rows.join(hot, group, "left_anti").select(*rows.columns).withColumn(name, plain)
     placed = global_positions(rows.join(hot, group, "left_semi").select(*rows.columns), [group, *order], "_position")
     firsts = placed.groupBy(group).agg(F.min("_position").alias("_first"))

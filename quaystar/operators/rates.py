@@ -52,9 +52,9 @@ def upsert_rates(target: DataFrame, fetched: DataFrame) -> DataFrame:
     current = fetched.groupBy(*PAIR).agg(
         F.max(F.struct("fetched_at", "rate_value", "rate_date"))["rate_date"].alias("_current_date")
     )
+    kept = [name for name in target.columns if name not in COLUMNS]
     return (
-        target.select(*COLUMNS)
-        .join(news, KEY, "full_outer")
+        target.join(news, KEY, "full_outer")
         .join(current, PAIR, "left")
         .select(
             *KEY,
@@ -63,6 +63,7 @@ def upsert_rates(target: DataFrame, fetched: DataFrame) -> DataFrame:
             F.when(F.col("_current_date").isNull(), F.col("is_current"))
             .otherwise((F.col("rate_date") == F.col("_current_date")).cast("int"))
             .alias("is_current"),
+            *kept,
         )
     )
 

@@ -1,0 +1,34 @@
+"""Joins and groups whose key may hold a large share of the rows.
+
+AQE splits a hot key where both sides of a sort-merge join come straight from a shuffle. These helpers serve the other
+places: the few hot keys are found first and their rows go another, exact way.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quaystar.session import shared_folder
+
+# A task takes up to this many rows of one key; keys with more rows are hot.
+HOT_ROWS = 2_000_000
+
+
+def hot_keys(rows: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame | None:
+    """The keys with more than `hot_rows` rows, or None. There are at most rows / hot_rows of them: few at any volume."""
+    shared_folder(rows.sparkSession)
+    limit = HOT_ROWS if hot_rows is None else hot_rows
+    hot = rows.groupBy(key).count().where(F.col("count") > limit).select(key).checkpoint()
+    return None if hot.isEmpty() else F.broadcast(hot)
+
+
+def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
+    """Inner join with a lookup of one row per key. Rows of hot keys stay where they are: their lookup rows, as few as
+    the hot keys, are broadcast."""
+    joined = rows.join(lookup, key)
+    if hot is None:
+        return joined
+    cold = rows.join(hot, key, "left_anti").join(lookup, key)
+    warm = rows.join(hot, key, "left_semi").join(F.broadcast(lookup.join(hot, key, "left_semi")), key)
+    return cold.select(*joined.columns).unionByName(warm.select(*joined.columns))

@@ -6,10 +6,10 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quaystar.operators import dimensions, facts
 from quaystar.operators.numbering import (
-    append_keys,
     assign_keys,
     assign_keys_in_files,
     highest_key,
@@ -118,10 +118,12 @@ class Warehouse:
             stored = self.store.read("dim_exchange_rate")
         else:
             stored = self.spark.createDataFrame([], table.schema())
-        merged = upsert_rates(stored, fetched)
-        known = merged.join(stored.select(*table.business_key, table.identity), list(table.business_key))
-        fresh = append_keys(merged, stored, table.business_key, table.identity)
-        return self.store.replace("dim_exchange_rate", table.shape(known).unionByName(table.shape(fresh)))
+        merged = self.store.written("dim_exchange_rate__merged", upsert_rates(stored, fetched))
+        known = F.col(table.identity).isNotNull()
+        fresh = merged.where(~known).drop(table.identity)
+        start = highest_key(stored, table.identity)
+        keyed = merged.where(known).unionByName(assign_keys(fresh, table.business_key, table.identity, start))
+        return self.store.replace("dim_exchange_rate", table.shape(keyed))
 
     def load(self, force: bool = False) -> dict[str, str]:
         """Run all steps in order; a failing step stops the load. Tables with rows are skipped unless forced."""

@@ -63,12 +63,12 @@ def test_both_ways_of_ntile_agree(spark, rows):
     assert rows(plain) == rows(distributed)
 
 
-@pytest.mark.parametrize("hot_group_rows", [10, 200, 10_000])
-def test_positions_in_a_hot_group(spark, hot_group_rows):
+@pytest.mark.parametrize("hot_rows", [10, 200, 10_000])
+def test_positions_in_a_hot_group(spark, hot_rows):
     chance = random.Random(11)
     values = [("hot" if chance.random() < 0.4 else f"g{chance.randrange(40)}", chance.random(), i) for i in range(2000)]
     frame = spark.createDataFrame(values, "g string, v double, id int").repartition(6)
-    placed = positions_in_group(frame, "g", ["v", "id"], "n", hot_group_rows)
+    placed = positions_in_group(frame, "g", ["v", "id"], "n", hot_rows)
     expected, seen = {}, {}
     for group, value, number in sorted(values):
         seen[group] = seen.get(group, 0) + 1

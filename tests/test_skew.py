@@ -1,0 +1,29 @@
+import random
+
+from quaystar.operators import skew
+from quaystar.operators.skew import hot_keys, lookup_join
+
+
+def test_hot_keys_are_split_off_without_loss(spark, rows):
+    chance = random.Random(9)
+    values = [(1 if chance.random() < 0.34 else chance.randrange(300), i) for i in range(3000)] + [(None, -1)]
+    frame = spark.createDataFrame(values, "k int, n int")
+    lookup = spark.createDataFrame([(k, f"v{k}") for k in range(250)], "k int, v string")
+    hot = hot_keys(frame, "k", 100)
+    assert rows(hot) == [(1,)]
+    assert hot_keys(frame, "k", 5000) is None and hot_keys(frame, "k") is None
+    expected = rows(frame.join(lookup, "k"))
+    assert rows(lookup_join(frame, lookup, "k", hot)) == expected
+    assert rows(lookup_join(frame, lookup, "k", None)) == expected
+
+
+def test_tables_are_the_same_with_every_key_hot(spark, rows, tmp_path, monkeypatch):
+    from quaystar.plans.catalogue import OrderWarehouse
+
+    folder = "/root/testdata/sf0.001"
+    plain = OrderWarehouse(spark, folder, str(tmp_path / "plain"))
+    names = ("order_items", "dim_date", "fact_reviews", "agg_monthly_sales")
+    expected = {name: rows(plain.table(name).drop("review_key", "created_at")) for name in names}
+    monkeypatch.setattr(skew, "HOT_ROWS", 3)
+    split = OrderWarehouse(spark, folder, str(tmp_path / "split"))
+    assert {name: rows(split.table(name).drop("review_key", "created_at")) for name in names} == expected

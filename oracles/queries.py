@@ -223,7 +223,12 @@ ORACLES: dict[str, str] = {
               FROM scd2_initial WHERE coalesce(category_name_pt, '') NOT LIKE '%_SCD_DEMO'
               ORDER BY product_id LIMIT 1)""",
     "scd2_close": "SELECT * FROM scd2_closed",
-    "scd2_apply": "SELECT * FROM scd2_applied",
+    "scd2_apply": """
+        SELECT CASE WHEN year(valid_from) = 1900 THEN 0 ELSE (SELECT count(*) FROM dim_product) END
+                   + row_number() OVER (PARTITION BY year(valid_from) = 1900
+                         ORDER BY substr(md5(product_id || '|' || strftime(valid_from, '%Y-%m-%d %H:%M:%S')), 1, 4),
+                                  product_id) AS product_scd_key, *
+        FROM scd2_applied""",
     "scd2_history": """
         SELECT product_id, category_name_pt, category_name_en, valid_from, valid_to, is_current FROM scd2_applied
         WHERE product_id IN (SELECT product_id FROM scd2_applied GROUP BY product_id HAVING count(*) > 1

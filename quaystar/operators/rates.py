@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaystar.functions.columns import MONEY
@@ -95,3 +95,10 @@ def orders_pln(fact_orders: DataFrame, rates: DataFrame) -> DataFrame:
             F.col("_rate.rate_date").alias("exchange_rate_date"),
         )
     )
+
+
+def read_payloads(spark: SparkSession, path: str) -> DataFrame:
+    """Landed answers of the rate service, one per line; a file's time is the time of the fetch."""
+    return spark.read.text(path).select(
+        F.col("value").alias("payload"), F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("fetched_at")
+    )

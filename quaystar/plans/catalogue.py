@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from quaystar.functions.columns import date_key, flag, region_of, us_week
 from quaystar.operators import delta, facts, ingest, rates, scd2
 from quaystar.operators.numbering import assign_keys
-from quaystar.plans import reports, validation
+from quaystar.plans import history, reports, validation
 from quaystar.plans.warehouse import Warehouse
 from quaystar.schema import SOURCES, TABLES
 from quaystar.session import shared_folder, table_files
@@ -28,7 +28,7 @@ from quaystar.sources.tables import TableStore
 Query = Callable[[SparkSession, str], DataFrame]
 
 RAW_TABLES = ("customer", "supplier", "part", "orders", "lineitem", "events")
-CHANGE_TIME = datetime(2024, 1, 2, 3, 4, 5)
+CHANGE_TIME, LATER_CHANGE_TIME = datetime(2024, 1, 2, 3, 4, 5), datetime(2024, 2, 2)
 # Orders bought before this day are loaded already when the delta comes.
 DELTA_FROM = 20180101
 # Rates fetched before this moment are stored already when the next ones come.
@@ -48,9 +48,10 @@ class OrderWarehouse(Warehouse):
         return TableStore(self.spark, f"{self.root}/scratch/{uuid.uuid4().hex}")
 
     def exchange_rates(self) -> DataFrame:
-        if not self.store.exists("dim_exchange_rate"):
-            self.merge_rates(rates.parse_payloads(self.source.rate_payloads()))
-        return self.table("dim_exchange_rate")
+        with self._building:
+            if not self.store.exists("dim_exchange_rate"):
+                self.merge_rates(rates.parse_payloads(self.source.rate_payloads()))
+            return self.store.read("dim_exchange_rate")
 
     def csv_export(self, name: str, rows: DataFrame) -> str:
         """The rows as delivered CSV files, for the scans to read."""
@@ -63,7 +64,7 @@ def warehouse(spark: SparkSession, folder: str) -> OrderWarehouse:
     """One warehouse per application and state of the source files, in the shared folder."""
     state = hashlib.sha256(table_files(spark, folder, RAW_TABLES).encode()).hexdigest()[:16]
     key = (spark.sparkContext.applicationId, state)
-    if key not in _warehouses:
+    if key not in _warehouses or _warehouses[key].spark is not spark:
         _warehouses[key] = OrderWarehouse(spark, folder, f"{shared_folder(spark)}/quaystar/{key[0]}/{state}")
     return _warehouses[key]
 
@@ -327,6 +328,17 @@ def _applied(versions: DataFrame, snapshot: DataFrame) -> DataFrame:
     return scd2.apply_changes(versions, snapshot, CHANGE_TIME)
 
 
+def scd2_apply(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored history after the snapshot was delivered twice: the second delivery changes nothing."""
+    wh = warehouse(spark, folder)
+    products = wh.table("dim_product")
+    target = Warehouse(spark, wh.scratch_store(), wh.staging)
+    target.store.replace("dim_product", products)
+    history.change_products(target, product_snapshot(products), CHANGE_TIME)
+    stored = history.change_products(target, product_snapshot(products), LATER_CHANGE_TIME)
+    return stored.select("product_scd_key", *scd2.COLUMNS)
+
+
 # --- delta, rates --------------------------------------------------------------------------------------------------
 
 
@@ -468,7 +480,7 @@ QUERIES: dict[str, Query] = {
     "scd2_initial": _scd2(lambda versions, _: assign_keys(versions, ["product_id", "valid_from"], "product_scd_key")),
     "scd2_changes": _scd2(lambda versions, _: scd2.demo_change(versions)),
     "scd2_close": _scd2(lambda versions, snapshot: scd2.close_changed(versions, snapshot, CHANGE_TIME)),
-    "scd2_apply": _scd2(_applied),
+    "scd2_apply": scd2_apply,
     "scd2_history": _scd2(lambda versions, snapshot: scd2.version_history(_applied(versions, snapshot))),
     "scd2_counts": _scd2(lambda versions, snapshot: scd2.version_counts(_applied(versions, snapshot))),
     "delta_orders": delta_orders,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from threading import RLock
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,15 +74,16 @@ STORED_STAGING = {"geolocation", "order_items", "order_reviews"}
 class Warehouse:
     def __init__(self, spark: SparkSession, store: TableStore, staging: Staging):
         self.spark, self.store, self.staging = spark, store, staging
+        self._building = RLock()
 
     def table(self, name: str) -> DataFrame:
-        """A staging or warehouse table; a warehouse table that is missing is built first."""
-        if self.store.exists(name):
-            return self.store.read(name)
-        if name in STEP_OF:
-            return self.build(name)
-        rows = self.staging[name]()
-        return self.store.replace(name, rows) if name in STORED_STAGING else rows
+        """A staging or warehouse table; a warehouse table that is missing is built first, and once."""
+        if name not in STEP_OF and name not in STORED_STAGING and not self.store.exists(name):
+            return self.staging[name]()
+        with self._building:
+            if self.store.exists(name):
+                return self.store.read(name)
+            return self.build(name) if name in STEP_OF else self.store.replace(name, self.staging[name]())
 
     def insert_rows(self, name: str) -> DataFrame:
         """The rows of a warehouse table as its builder gives them: no surrogate key, no defaults, nothing stored."""
@@ -105,11 +107,15 @@ class Warehouse:
                 rows = assign_keys(rows, table.business_key, table.identity, start)
         return table.shape(rows)
 
+    def append(self, name: str, new_rows: DataFrame) -> DataFrame:
+        """Append rows that are not stored yet; their keys go on after the highest one."""
+        identity = TABLES[name].identity
+        start = highest_key(self.table(name), identity) if identity else 0
+        return self.store.append(name, self._keyed(name, new_rows, start))
+
     def append_new(self, name: str, rows: DataFrame) -> DataFrame:
         """Append the rows whose business key is not stored yet; stored rows and keys stay as they are."""
-        table, existing = TABLES[name], self.table(name)
-        start = highest_key(existing, table.identity) if table.identity else 0
-        return self.store.append(name, self._keyed(name, unknown_rows(rows, existing, table.business_key), start))
+        return self.append(name, unknown_rows(rows, self.table(name), TABLES[name].business_key))
 
     def merge_rates(self, fetched: DataFrame) -> DataFrame:
         """Upsert fetched rates; rows that were there keep their key."""

@@ -36,6 +36,15 @@ def test_payload_delivers_its_first_rate(spark):
     )
 
 
+def test_landed_payload_files(spark, tmp_path):
+    for name, code, value in (("a", "brl", 0.8125), ("b", "usd", 4.01)):
+        text = json.dumps({"code": code, "rates": [{"effectiveDate": "2024-01-05", "mid": value}]})
+        (tmp_path / f"{name}.json").write_text(text)
+    found = rates.parse_payloads(rates.read_payloads(spark, str(tmp_path)))
+    assert sorted((r.currency_code, str(r.rate_value)) for r in found.collect()) == [("BRL", "0.812500"), ("USD", "4.010000")]
+    assert all(r.fetched_at for r in found.collect())
+
+
 def one_by_one(table, fetches):
     """The upsert as a sequence of single fetches."""
     for source, code, base, day, value, time in sorted(fetches, key=lambda f: f[5]):

@@ -1,6 +1,11 @@
 from datetime import datetime
 
+from pyspark.sql import functions as F
+
 from quaystar.operators import scd2
+from quaystar.plans.history import change_products, load_history
+from quaystar.plans.warehouse import Warehouse
+from quaystar.sources.tables import TableStore
 
 COLUMNS = (
     "product_id string, category_name_pt string, category_name_en string, product_weight_g decimal(10,2), "
@@ -54,9 +59,23 @@ def test_demonstration_change_takes_the_first_product_not_renamed(spark):
 
 
 def test_update_time_is_set_where_the_version_ended(spark):
-    from pyspark.sql import functions as F
-
     rows = scd2.initial_versions(products(spark, ("a", "x"), ("b", "x")))
     rows = rows.withColumn("updated_at", F.lit("2020-01-01 00:00:00").cast("timestamp"))
     closed = scd2.close_changed(rows, products(spark, ("a", "y"), ("b", "x")), FIRST).collect()
     assert {r.product_id: r.updated_at for r in closed} == {"a": FIRST, "b": datetime(2020, 1, 1)}
+
+
+def test_stored_history_keeps_its_keys(spark, tmp_path):
+    warehouse = Warehouse(spark, TableStore(spark, str(tmp_path)), {})
+    warehouse.store.replace("dim_product", products(spark, ("a", "x"), ("b", "x"), ("c", "x")))
+    first = {(r.product_id, r.product_scd_key) for r in load_history(warehouse).collect()}
+    assert {key for _, key in first} == {1, 2, 3}
+    changes = scd2.demo_change(load_history(warehouse))
+    changes = spark.createDataFrame(changes.collect(), changes.schema)
+    change_products(warehouse, changes, FIRST)
+    stored = change_products(warehouse, changes, SECOND)  # known by now
+    found = {(r.product_id, r.product_scd_key, r.category_name_pt, r.is_current) for r in stored.collect()}
+    assert {(i, k) for i, k, _, _ in found if k < 4} == first
+    assert ("a", 4, "x_SCD_DEMO", 1) in found
+    assert all(r.created_at and r.updated_at for r in stored.collect())
+    assert load_history(warehouse).count() == stored.count()

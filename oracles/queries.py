@@ -263,7 +263,7 @@ ORACLES: dict[str, str] = {
                {money('sum(total_order_value)')} AS total_revenue
         FROM fact_orders f JOIN dim_customer c ON f.customer_key = c.customer_key GROUP BY region_name""",
     "rpt_seller_rank": f"""
-        SELECT rank() OVER (ORDER BY total_revenue DESC) AS revenue_rank, *
+        SELECT CAST(rank() OVER (ORDER BY total_revenue DESC) AS INTEGER) AS revenue_rank, *
         FROM (SELECT seller_id, seller_city, seller_state, region_name, count(DISTINCT f.order_id) AS total_orders,
                      {money(f'sum({LINE_AMOUNT})')} AS total_revenue, {scores('review_score')} AS avg_review_score
               FROM {joined_lines('seller_key')} JOIN dim_seller s ON f.seller_key = s.seller_key GROUP BY ALL)
@@ -291,7 +291,8 @@ ORACLES: dict[str, str] = {
                            count(*) AS total_orders
                     FROM fact_orders f JOIN dim_date d ON f.order_date_key = d.date_key GROUP BY ALL))""",
     "rpt_category_share": f"""
-        SELECT rank() OVER (ORDER BY total_revenue DESC) AS category_rank, category_name_en, total_orders, total_revenue,
+        SELECT CAST(rank() OVER (ORDER BY total_revenue DESC) AS INTEGER) AS category_rank, category_name_en,
+               total_orders, total_revenue,
                {ratio(f"100 * {cents('total_revenue')}", cents('whole'), 'DECIMAL(10,2)')} AS revenue_share_percent,
                {ratio(f"100 * {cents('running')}", cents('whole'), 'DECIMAL(10,2)')} AS cumulative_revenue_share_percent
         FROM (SELECT *, sum(total_revenue) OVER () AS whole,

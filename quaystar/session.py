@@ -8,9 +8,9 @@ from functools import cache
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **settings: str) -> SparkSession:
     """Session for tests and the benchmark; a cluster brings its own."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("quaystar")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -19,8 +19,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
-        .getOrCreate()
     )
+    for name, value in settings.items():
+        builder = builder.config(name, value)
+    return builder.getOrCreate()
 
 
 def shared_folder(spark: SparkSession) -> str:

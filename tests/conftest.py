@@ -10,7 +10,8 @@ from quaystar.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, 4)
+    # Many small jobs: compiling them lightly takes less time than running them well.
+    session = local_session(4, 3, **{"spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

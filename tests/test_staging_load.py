@@ -40,45 +40,29 @@ def deliver(folder, table, values):
         writer.writerows(values)
 
 
-@pytest.fixture
-def delivery(tmp_path):
-    folder = tmp_path / "delivered"
-    folder.mkdir()
+@pytest.fixture(scope="module")
+def delivery(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("delivered")
     for table, values in DELIVERED.items():
         deliver(folder, table, values)
     return folder
 
 
-def test_load_resume_and_reload(spark, rows, tmp_path, delivery):
-    store = TableStore(spark, str(tmp_path / "store"))
-    load = StagingLoad(spark, store, str(delivery))
-    first = {done.table: done for done in load.load_all()}
+@pytest.fixture(scope="module")
+def first_load(spark, tmp_path_factory, delivery):
+    load = StagingLoad(spark, TableStore(spark, str(tmp_path_factory.mktemp("store"))), str(delivery))
+    return load, load.load_all()
+
+
+def test_first_load(first_load):
+    first = {done.table: done for done in first_load[1]}
     assert set(first) == set(SOURCES)
     assert all((done.duplicates, done.errors) == (0, 0) for done in first.values())
     assert {name: done.loaded for name, done in first.items()} == {name: len(v) for name, v in DELIVERED.items()}
-    assert load.load_all() == []
-    assert rows(store.read("order_reviews"), "review_comment_message")[0] == ('good,\nvery "good"  ',)
-
-    # A duplicate, an orphan and a bad amount: the good rows are stored, but the load is not recorded.
-    payments = [*DELIVERED["order_payments"], ["o2", "2", "voucher", "1", "2.00"]]
-    deliver(
-        delivery,
-        "order_payments",
-        [*payments, payments[0], ["o9", "1", "boleto", "1", "1.00"], ["o1", "2", "boleto", "1", "much"]],
-    )
-    again = load.load_all(reload=["order_payments"])
-    assert [(done.table, done.loaded, done.duplicates, done.errors) for done in again] == [("order_payments", 3, 1, 2)]
-    assert rows(store.read("order_payments__rejects"), "order_id", "_errors") == [
-        ("o1", ["payment_value"]),
-        ("o9", ["order_id"]),
-    ]
-    assert ("order_payments", 2) in rows(store.read(MANIFEST))
-    assert [done.table for done in load.load_all()] == ["order_payments"]
 
 
-def test_warehouse_on_delivered_files(spark, rows, tmp_path, delivery):
-    store = TableStore(spark, str(tmp_path / "store"))
-    StagingLoad(spark, store, str(delivery)).load_all()
+def test_warehouse_on_delivered_files(spark, first_load):
+    store = first_load[0].store
     warehouse = Warehouse(spark, store, staged(store))
     assert warehouse.load() == {step.table: "built" for step in STEPS}
     second = warehouse.load()
@@ -99,3 +83,26 @@ def test_warehouse_on_delivered_files(spark, rows, tmp_path, delivery):
     categories = {row.category_name_en for row in store.read("agg_monthly_sales").collect()}
     assert categories == {"furniture", "Unknown"}
     assert all(row.created_at for row in store.read("fact_payments").collect())
+
+
+def test_resume_and_reload(rows, delivery, first_load):
+    load = first_load[0]
+    store = load.store
+    assert load.load_all() == []
+    assert rows(store.read("order_reviews"), "review_comment_message")[0] == ('good,\nvery "good"  ',)
+
+    # A duplicate, an orphan and a bad amount: the good rows are stored, but the load is not recorded.
+    payments = [*DELIVERED["order_payments"], ["o2", "2", "voucher", "1", "2.00"]]
+    deliver(
+        delivery,
+        "order_payments",
+        [*payments, payments[0], ["o9", "1", "boleto", "1", "1.00"], ["o1", "2", "boleto", "1", "much"]],
+    )
+    again = load.load_all(reload=["order_payments"])
+    assert [(done.table, done.loaded, done.duplicates, done.errors) for done in again] == [("order_payments", 3, 1, 2)]
+    assert rows(store.read("order_payments__rejects"), "order_id", "_errors") == [
+        ("o1", ["payment_value"]),
+        ("o9", ["order_id"]),
+    ]
+    assert ("order_payments", 2) in rows(store.read(MANIFEST))
+    assert [done.table for done in load.load_all()] == ["order_payments"]

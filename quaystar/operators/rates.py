@@ -9,6 +9,7 @@ from quaystar.functions.columns import MONEY
 
 # Where the rates come from, and the currencies of the converted orders.
 SOURCE_SYSTEM, BASE_CURRENCY, ORDER_CURRENCY = "NBP", "PLN", "BRL"
+ORDERS_PLN_VIEW = "vw_fact_orders_pln"
 PAYLOAD = "struct<code: string, rates: array<struct<effectiveDate: date, mid: decimal(18,6)>>>"
 PAIR = ["source_system", "currency_code", "base_currency"]
 KEY = [*PAIR, "rate_date"]

@@ -390,11 +390,11 @@ def latest_rate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def orders_pln_view(spark: SparkSession, folder: str) -> DataFrame:
-    """The converted orders, also as the view fact_orders_pln."""
+    """The converted orders, by the name of their view."""
     wh = warehouse(spark, folder)
-    rows = rates.orders_pln(wh.table("fact_orders"), wh.exchange_rates())
-    rows.createOrReplaceTempView("fact_orders_pln")
-    return spark.table("fact_orders_pln")
+    wh.exchange_rates()
+    wh.register_views()
+    return spark.table(rates.ORDERS_PLN_VIEW)
 
 
 def rpt_orders_pln(spark: SparkSession, folder: str) -> DataFrame:

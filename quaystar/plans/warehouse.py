@@ -16,7 +16,7 @@ from quaystar.operators.numbering import (
     highest_key,
     unknown_rows,
 )
-from quaystar.operators.rates import upsert_rates
+from quaystar.operators.rates import ORDERS_PLN_VIEW, orders_pln, upsert_rates
 from quaystar.schema import SOURCES, TABLES
 from quaystar.sources.tables import TableStore
 
@@ -131,6 +131,15 @@ class Warehouse:
         keyed = merged.where(known).unionByName(assign_keys(fresh, table.business_key, table.identity, start))
         return self.store.replace("dim_exchange_rate", table.shape(keyed))
 
+    def register_views(self) -> None:
+        """All stored tables as temporary views, and the converted orders as a view of their own, for SQL users."""
+        for name in TABLES:
+            if name in STEP_OF or self.store.exists(name):
+                self.table(name).createOrReplaceTempView(name)
+        if self.store.exists("dim_exchange_rate"):
+            converted = orders_pln(self.table("fact_orders"), self.table("dim_exchange_rate"))
+            converted.createOrReplaceTempView(ORDERS_PLN_VIEW)
+
     def load(self, force: bool = False) -> dict[str, str]:
         """Run all steps in order; a failing step stops the load. Tables with rows are skipped unless forced."""
         done = {}

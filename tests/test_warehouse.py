@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quaystar.operators import facts
-from quaystar.plans import validation
+from quaystar.plans import reports, validation
 from quaystar.plans.catalogue import DELTA_FROM, OrderWarehouse
 from quaystar.plans.delta import load_delta
 from quaystar.plans.warehouse import STEPS
@@ -95,3 +95,14 @@ def test_audit_runs(spark, warehouse, rows, tmp_path):
     results = validation.results_of_run(log.read("etl_validation_result"), 2).collect()
     assert [r.validation_result_id for r in results] == list(range(7, 13))
     assert [r.validation_status for r in results] == ["OK", "OK", "OK", "ERROR", "OK", "OK"]
+
+
+def test_views_answer_sql(spark, warehouse, rows):
+    warehouse.exchange_rates()
+    warehouse.register_views()
+    by_view = spark.sql("""
+        SELECT region_name, count(*) AS total_orders, sum(is_delayed) AS delayed_orders
+        FROM fact_orders f JOIN dim_customer c ON f.customer_key = c.customer_key GROUP BY region_name""")
+    report = reports.delay_by_region(warehouse.table("fact_orders"), warehouse.table("dim_customer"))
+    assert rows(by_view) == rows(report, "region_name", "total_orders", "delayed_orders")
+    assert spark.sql("SELECT * FROM vw_fact_orders_pln").count() == warehouse.store.row_count("fact_orders")

@@ -18,11 +18,12 @@ COLUMNS = [*KEY, "rate_value", "fetched_at", "is_current"]
 
 def parse_payloads(payloads: DataFrame) -> DataFrame:
     """Landed payload texts -> rate rows; a payload delivers the first element of its `rates`."""
-    payload = F.from_json("payload", PAYLOAD)
-    rate = payload["rates"][0]
-    return payloads.select(
+    # As a generator, each payload is parsed once, not once per use of a value.
+    parsed = payloads.select("fetched_at", F.inline(F.array(F.from_json("payload", PAYLOAD))))
+    rate = F.col("rates")[0]
+    return parsed.select(
         F.lit(SOURCE_SYSTEM).alias("source_system"),
-        F.upper(payload["code"]).alias("currency_code"),
+        F.upper("code").alias("currency_code"),
         F.lit(BASE_CURRENCY).alias("base_currency"),
         rate["effectiveDate"].alias("rate_date"),
         rate["mid"].alias("rate_value"),

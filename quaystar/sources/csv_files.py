@@ -110,6 +110,7 @@ def scan_split_csv(spark: SparkSession, path: str) -> DataFrame:
         alone.unionByName(joined)
         .select(F.regexp_replace("value", "\\r\\z", "").alias("value"))
         .where(F.col("value") != "")
-        .select(F.from_csv("value", schema, {**OPTIONS, "multiLine": "true"}).alias("row"))
     )
-    return records.select(*[F.col(f"row.c{i}").alias(name) for i, name in enumerate(columns)])
+    # As a generator, each record is parsed once; as a plain expression it would be once per use of a column.
+    parsed = F.from_csv("value", schema, {**OPTIONS, "multiLine": "true"})
+    return records.select(F.inline(F.array(parsed))).toDF(*columns)

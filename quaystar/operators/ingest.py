@@ -24,7 +24,7 @@ def null_tokens(rows: DataFrame) -> DataFrame:
 
 
 def typed(rows: DataFrame, source: Source) -> DataFrame:
-    """Text columns -> declared types, plus `_errors`: the columns whose value cannot be stored.
+    """Text columns -> declared types, plus `_errors`: the columns whose value cannot be stored, as a list text.
 
     A value is refused if it cannot be cast, is longer than the column, or is NULL in a NOT NULL column.
     """
@@ -39,15 +39,15 @@ def typed(rows: DataFrame, source: Source) -> DataFrame:
             refused = refused | (F.length(raw) > column.max_length)
         values.append(value.alias(column.name))
         errors.append(F.when(refused, F.lit(column.name)))
-    return rows.select(*values, F.array_compact(F.array(*errors)).alias("_errors"))
+    return rows.select(*values, F.concat_ws(",", *errors).alias("_errors"))
 
 
 def accepted(checked: DataFrame) -> DataFrame:
-    return checked.where(F.size("_errors") == 0).drop("_errors")
+    return checked.where(F.col("_errors") == "").drop("_errors")
 
 
 def rejected(checked: DataFrame) -> DataFrame:
-    return checked.where(F.size("_errors") > 0)
+    return checked.where(F.col("_errors") != "")
 
 
 def first_per_key(rows: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -73,7 +73,7 @@ def load_counts(checked: DataFrame, key: Sequence[str]) -> DataFrame:
 
     Rows are first counted per key, so a repeated key is one row per task when it is shuffled.
     """
-    refused = F.size("_errors") > 0
+    refused = F.col("_errors") != ""
     per_key = checked.groupBy(*[F.when(~refused, F.col(c)).alias(c) for c in key], refused.alias("_refused")).agg(
         F.count("*").alias("_rows")
     )

@@ -123,7 +123,7 @@ def _spoiled_payments(wh: OrderWarehouse) -> DataFrame:
 def typed_load_rejects(spark: SparkSession, folder: str) -> DataFrame:
     checked = ingest.typed(_spoiled_payments(warehouse(spark, folder)), SOURCES["order_payments"])
     return ingest.rejected(checked).select(
-        "order_id", "payment_sequential", F.array_join("_errors", ",").alias("refused_columns")
+        "order_id", "payment_sequential", F.col("_errors").alias("refused_columns")
     )
 
 
@@ -392,6 +392,7 @@ def latest_rate(spark: SparkSession, folder: str) -> DataFrame:
 def orders_pln_view(spark: SparkSession, folder: str) -> DataFrame:
     """The converted orders, by the name of their view."""
     wh = warehouse(spark, folder)
+    wh.table("fact_orders")
     wh.exchange_rates()
     wh.register_views()
     return spark.table(rates.ORDERS_PLN_VIEW)

@@ -64,7 +64,7 @@ class StagingLoad:
             column, parent = source.parent
             parent_rows = self.store.read(parent)
             astray = orphans(good, column, parent_rows, column)
-            refused = refused.unionByName(astray.withColumn("_errors", F.array(F.lit(column))))
+            refused = refused.unionByName(astray.withColumn("_errors", F.lit(column)))
             good = with_parent(good, column, parent_rows, column)
         self.store.replace(f"{table}__rejects", refused)
         self.store.replace(table, good)

@@ -134,9 +134,9 @@ class Warehouse:
     def register_views(self) -> None:
         """All stored tables as temporary views, and the converted orders as a view of their own, for SQL users."""
         for name in TABLES:
-            if name in STEP_OF or self.store.exists(name):
+            if self.store.exists(name):
                 self.table(name).createOrReplaceTempView(name)
-        if self.store.exists("dim_exchange_rate"):
+        if self.store.exists("fact_orders") and self.store.exists("dim_exchange_rate"):
             converted = orders_pln(self.table("fact_orders"), self.table("dim_exchange_rate"))
             converted.createOrReplaceTempView(ORDERS_PLN_VIEW)
 

@@ -4,20 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quaystar.llm import quality_rules, simhash
+from quaystar.llm import mixing, packing, private_data, quality_rules, simhash
 from quaystar.llm.common import stored, table
+from quaystar.llm.queries import REST, WEIGHTS
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules reject go."""
     return quality_rules.keep_good(docs)
 
 
-def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
     return simhash.keep_one(docs)
 
 
-STAGES = [("quality", quality), ("near_duplicates", one_of_each)]
-# The stages hash shingles and cut texts in ways that SQL cannot express; the tests hold them against brute force.
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and the words that give it away are replaced in the texts."""
+    return private_data.sanitise(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents in the order of the mix: the written files hold it from the first row to the last."""
+    return mixing.mixed(docs, WEIGHTS, REST)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document goes."""
+    return packing.pack(docs)
+
+
+STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("private_data", private), ("mixing", mix), ("packing", pack)]
+# The stages hash shingles, cut texts and pack bins in ways that SQL cannot express; tests hold them against brute force.
 ORACLE_SQL = None
 
 

@@ -5,9 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaystar.llm import quality_rules, simhash
+from quaystar.llm import mixing, packing, private_data, quality_rules, simhash
 from quaystar.llm.common import table
 
+# Parts of the mix; the sources that are not named share one part.
+WEIGHTS = {"src0": 24, **{f"src{k}": 6 if k % 5 == 0 else 4 for k in range(1, 20)}}
+REST = 1
+
+
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    rows, mix = mixing.scheduled(table(spark, folder, "documents"), WEIGHTS, REST)
+    return rows.select("doc_id", "source", f"{mix}.*")
+
+
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
 
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     rows, verdict = quality_rules.judged(table(spark, folder, "documents"))
@@ -20,7 +33,21 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits("fingerprint").alias("fingerprint"), "component_id")
 
 
+def op7_private_data(spark: SparkSession, folder: str) -> DataFrame:
+    rows, found = private_data.find(table(spark, folder, "documents"))
+    base, spans = F.col(found)["base"], F.col(found)["all"]
+    return rows.select(
+        "doc_id",
+        *[private_data.counted(base, kind).alias(f"n_{kind}") for kind in private_data.KINDS[:4]],
+        F.sha2(private_data.as_text(base), 256).alias("base_sha256"),
+        private_data.as_text(spans).alias("spans"),
+    )
+
+
 QUERIES = {
+    "op1_mixing": op1_mixing,
+    "op2_packing": op2_packing,
     "op3_quality_rules": op3_quality_rules,
     "op6_simhash": op6_simhash,
+    "op7_private_data": op7_private_data,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaystar.llm import mixing, packing, private_data, quality_rules, simhash
+from quaystar.llm import classifier, html_text, mixing, packing, private_data, quality_rules, simhash, warc
 from quaystar.llm.common import table
 
 # Parts of the mix; the sources that are not named share one part.
@@ -28,6 +28,14 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", *[F.col(verdict)[name].alias(name) for name in names])
 
 
+def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.article_texts(table(spark, folder, "pages"))
+
+
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive(table(spark, folder, "pages"))
+
+
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", simhash.hex_digits("fingerprint").alias("fingerprint"), "component_id")
@@ -44,10 +52,17 @@ def op7_private_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return classifier.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
     "op3_quality_rules": op3_quality_rules,
+    "op4_html_text": op4_html_text,
+    "op5_warc": op5_warc,
     "op6_simhash": op6_simhash,
     "op7_private_data": op7_private_data,
+    "op8_classifier": op8_classifier,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaystar.llm import classifier, html_text, mixing, packing, private_data, quality_rules, simhash, substring_dedup, warc
+from quaystar.llm import classifier, hamming_index, html_text, mixing, packing, private_data, quality_rules, simhash, substring_dedup, warc
 from quaystar.llm.common import table
 
 # Parts of the mix; the sources that are not named share one part.
@@ -56,6 +56,10 @@ def op8_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return classifier.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op9_hamming_index(spark: SparkSession, folder: str) -> DataFrame:
+    return hamming_index.nearest(table(spark, folder, "embeddings"))
+
+
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.repeated_passages(table(spark, folder, "documents")).drop("spans")
 
@@ -69,5 +73,6 @@ QUERIES = {
     "op6_simhash": op6_simhash,
     "op7_private_data": op7_private_data,
     "op8_classifier": op8_classifier,
+    "op9_hamming_index": op9_hamming_index,
     "op10_substring_dedup": op10_substring_dedup,
 }

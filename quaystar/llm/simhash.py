@@ -61,7 +61,8 @@ def _bands(radius: int) -> list[tuple[int, int]]:
 def _forest(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links of a spanning forest of the graph between two tiles (or in one, if they are the same)."""
     both = np.concatenate((a, b))
-    near = np.bitwise_count(a[:, None] ^ b[None, :]) <= radius
+    bits = np.bitwise_count(a.view(np.uint64)[:, None] ^ b.view(np.uint64)[None, :])  # of signed numbers it counts |x|
+    near = bits <= radius
     left, right = np.nonzero(near)
     right = right + len(a)
     label = np.arange(len(both))

@@ -12,8 +12,8 @@ import time
 
 from pyspark.sql import DataFrame
 
-from quaystar.plans.catalogue import QUERIES, warehouse
-from quaystar.plans.warehouse import STEPS, STORED_STAGING
+from quaystar.plans.catalogue import QUERIES, STORED_STAGING, warehouse
+from quaystar.plans.warehouse import STEPS
 from quaystar.session import local_session
 
 

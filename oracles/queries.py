@@ -148,6 +148,11 @@ ORACLES: dict[str, str] = {
         SELECT order_id, customer_id, order_status FROM st_orders o
         WHERE NOT EXISTS (SELECT 1 FROM st_customers c
                           WHERE c.customer_id = o.customer_id AND customer_city <> 'MACHINERY')""",
+    "staging_chain": """
+        SELECT review_id, order_id, review_score, (SELECT count(*) FROM reviews_kept) AS loaded,
+               (SELECT count(*) FROM reviews_checked WHERE good) - (SELECT count(*) FROM reviews_kept) AS duplicates,
+               (SELECT count(*) FROM reviews_checked WHERE NOT good) AS errors
+        FROM reviews_kept""",
     "load_summary": " UNION ALL ".join(
         [
             keyed_counts("customers", "customer_id", "st_customers"),
@@ -168,6 +173,13 @@ ORACLES: dict[str, str] = {
         SELECT table_name, recorded FROM ({RECORDED}) WHERE table_name <> 'supplier'
         UNION ALL SELECT table_name, actual FROM ({LOADED}) WHERE table_name = 'part' AND actual > 0""",
     "rate_payload_json": "SELECT * FROM observed_rates",
+    "rate_payload_rejects": """
+        SELECT fetched_at, CASE WHEN second(fetched_at) >= 18 THEN currency_code END AS currency_code,
+               CASE WHEN second(fetched_at) >= 18 THEN rate_value END AS rate_value,
+               CASE WHEN second(fetched_at) < 6 THEN 'currency_code,rate_date,rate_value'
+                    WHEN second(fetched_at) < 12 THEN 'rate_date,rate_value'
+                    WHEN second(fetched_at) < 18 THEN 'rate_value' END AS missing
+        FROM observed_rates""",
     "merge_upsert": "SELECT * FROM rates",
     "retire_current": """
         SELECT * REPLACE (CASE WHEN currency_code = 'BRL' THEN 0 ELSE is_current END AS is_current) FROM rates""",
@@ -345,6 +357,30 @@ ORACLES: dict[str, str] = {
     "val_orphan_products": """
         SELECT count(*) AS orphan_rows FROM fact_order_items f LEFT JOIN dim_product p ON f.product_key = p.product_key
         WHERE p.product_key IS NULL""",
+    "val_duplicate_keys_defects": """
+        SELECT 'dim_customer' AS table_name, customer_id AS business_key, 2 AS duplicated_count FROM dim_customer
+        WHERE customer_city = 'MACHINERY'
+        UNION ALL SELECT 'dim_seller', seller_id, 3 FROM dim_seller WHERE region_name = 'South'""",
+    "val_missing_keys_defects": """
+        SELECT count(*) FILTER (order_item_id = 2) AS missing_customer_key, 0 AS missing_product_key,
+               count(*) FILTER (price >= 50000) AS missing_seller_key, 0 AS missing_order_date_key
+        FROM fact_order_items""",
+    "val_orphan_products_defects": """
+        SELECT count(*) AS orphan_rows FROM fact_order_items f JOIN dim_product p ON f.product_key = p.product_key
+        WHERE p.size_class = 'Small'""",
+    "rpt_category_share_defects": f"""
+        SELECT CAST(rank() OVER (ORDER BY total_revenue DESC) AS INTEGER) AS category_rank, category_name_en,
+               total_orders, total_revenue,
+               {ratio(f"100 * {cents('total_revenue')}", cents('whole'), 'DECIMAL(10,2)')} AS revenue_share_percent,
+               {ratio(f"100 * {cents('running')}", cents('whole'), 'DECIMAL(10,2)')} AS cumulative_revenue_share_percent
+        FROM (SELECT *, sum(total_revenue) OVER () AS whole,
+                     sum(total_revenue) OVER (ORDER BY total_revenue DESC, category_name_en
+                                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running
+              FROM (SELECT coalesce(category_name_en, 'Unknown') AS category_name_en,
+                           count(DISTINCT order_id) AS total_orders, {money(f'sum({LINE_AMOUNT})')} AS total_revenue
+                    FROM fact_order_items f JOIN dim_product p ON f.product_key = p.product_key
+                    WHERE p.size_class <> 'Small' GROUP BY 1))
+        ORDER BY category_rank, category_name_en LIMIT 30""",
     "audit_validation_results": CHECKS,
     "audit_run_log": RUN.format(run=1, checks=CHECKS)
     + "".join(

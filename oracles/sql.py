@@ -120,11 +120,18 @@ PARTS: dict[str, str] = {
                {D20} + INTERVAL 30 DAY AS created,
                CASE WHEN o_orderkey % 11 <> 0
                     THEN {D20} + INTERVAL 30 DAY + (o_orderkey % 7) * INTERVAL '1' DAY END AS answered
-        FROM orders WHERE o_orderstatus <> 'P'""",
+        FROM orders""",
     "st_reviews": """
         SELECT * FROM delivered_reviews
         QUALIFY row_number() OVER (PARTITION BY review_id ORDER BY order_id, review_score, message NULLS FIRST,
                                    created, answered NULLS FIRST) = 1""",
+    "reviews_checked": """
+        SELECT r.*, o.order_id IS NOT NULL AS good FROM delivered_reviews r
+        LEFT JOIN st_orders o ON r.order_id = o.order_id AND o.order_status <> 'shipped'""",
+    "reviews_kept": """
+        SELECT * FROM reviews_checked WHERE good
+        QUALIFY row_number() OVER (PARTITION BY review_id ORDER BY order_id, review_score, message NULLS FIRST,
+                                   created, answered NULLS FIRST) = 1""",
     "st_products": """
         SELECT CAST(p_partkey AS VARCHAR) AS product_id, CASE WHEN p_partkey % 40 <> 0 THEN p_type END AS category,
                CAST(length(p_name) AS INTEGER) AS name_length, CAST(p_size * 10 AS INTEGER) AS description_length,

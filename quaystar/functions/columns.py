@@ -70,11 +70,6 @@ def mean(value: Column, decimal_type: str) -> Column:
     return F.avg(value.cast(MONEY)).cast(QUOTIENT).cast(decimal_type)
 
 
-def weighted_mean(total: Column, weight: Column, decimal_type: str) -> Column:
-    """Mean from partial sums: sum(total) / sum(weight). Lets a group be reduced before a join repeats its rows."""
-    return ratio(F.sum(total), F.sum(weight), decimal_type)
-
-
 def row_hash(columns: Sequence[str]) -> Column:
     """SHA-256 hex of the '|'-joined values; NULL and '' give the same text, so they are the same version."""
     parts: list[Column] = []

@@ -15,9 +15,11 @@ def new_orders(
     dim_order_status: DataFrame,
     dim_date: DataFrame,
 ) -> DataFrame:
-    """Fact rows of orders without a stored fact. The anti join comes first, so the builder sees new orders only."""
+    """Fact rows of orders without a stored fact. The anti join comes first, so the builder sees new orders only, and
+    their lines only: those are found before they are added up."""
     missing = orders.join(stored_orders.select("order_id"), "order_id", "left_anti").select(*orders.columns)
-    return facts.fact_orders(missing, order_items, dim_customer, dim_order_status, dim_date)
+    lines = order_items.select("order_id", "price", "freight_value").join(missing.select("order_id"), "order_id", "left_semi")
+    return facts.fact_orders(missing, lines, dim_customer, dim_order_status, dim_date)
 
 
 def new_order_items(

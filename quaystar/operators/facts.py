@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quaystar.functions.columns import MONEY, date_key, flag, ratio, text_length
-from quaystar.operators.skew import hot_keys, lookup_join
 
 
 def _calendar(dim_date: DataFrame, key: str) -> DataFrame:
@@ -165,7 +164,7 @@ def fact_reviews(
         .join(dim_seller.select("seller_id", "seller_key"), "seller_id")
         .select("order_id", "product_key", "seller_key")
     )
-    # What a review takes from its order. An order may have any number of reviews, so its hot keys are split off.
+    # What a review takes from its order: one row per order, so AQE can split an order with very many reviews.
     per_order = (
         orders.select("order_id", "customer_id")
         .join(dim_customer.select("customer_id", "customer_key"), "customer_id")
@@ -190,7 +189,7 @@ def fact_reviews(
             F.datediff(answered.cast("date"), created.cast("date")).alias("days_to_answer"),
         )
     )
-    return lookup_join(reviews, per_order, "order_id", hot_keys(order_reviews, "order_id"))
+    return reviews.join(per_order, "order_id")
 
 
 def fact_payments(
@@ -245,7 +244,7 @@ def monthly_sales(
     scored_lines = F.sum(F.when(F.col("score").isNotNull(), F.col("lines")))
     attributes = fact_orders.select("order_id", "is_delayed").join(scores, "order_id", "left")
     return (
-        lookup_join(per_order, attributes, "order_id", hot_keys(fact_items, "order_id"))
+        per_order.join(attributes, "order_id")
         .join(F.broadcast(months), "order_date_key")
         .groupBy("year", "month", "category_name_en", "seller_key")
         .agg(

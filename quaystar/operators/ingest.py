@@ -26,13 +26,16 @@ def null_tokens(rows: DataFrame) -> DataFrame:
 def typed(rows: DataFrame, source: Source) -> DataFrame:
     """Text columns -> declared types, plus `_errors`: the columns whose value cannot be stored, as a list text.
 
-    A value is refused if it cannot be cast, is longer than the column, or is NULL in a NOT NULL column.
+    A value is refused if it cannot be cast, is no finite number, is longer than the column, or is NULL in a NOT NULL
+    column.
     """
     values, errors = [], []
     for column in source.columns:
         raw = F.col(column.name)
         value = raw if column.type == "string" else raw.try_cast(column.type)
         refused = raw.isNotNull() & value.isNull()
+        if column.type in ("double", "float"):
+            refused = refused | F.isnan(value) | (F.abs(value) == float("inf"))
         if not column.nullable:
             refused = refused | raw.isNull()
         if column.max_length:
@@ -60,6 +63,18 @@ def first_per_key(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     return rows.withColumn("_position", position).where(F.col("_position") == 1).drop("_position")
 
 
+def refuse_orphans(checked: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
+    """Typed rows whose parent is missing are refused like those with a bad value, with the column as their error.
+
+    This goes before first_per_key: a refused row must not take the place of a good one with the same key.
+    """
+    known = parent.select(F.col(parent_key).alias("_parent")).where(F.col("_parent").isNotNull()).distinct()
+    astray = (F.col("_errors") == "") & F.col(column).isNotNull() & F.col("_parent").isNull()
+    return checked.join(known, F.col(column) == F.col("_parent"), "left").select(
+        *[c for c in checked.columns if c != "_errors"], F.when(astray, column).otherwise(F.col("_errors")).alias("_errors")
+    )
+
+
 def with_parent(rows: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
     return rows.join(parent.select(F.col(parent_key).alias(column)), column, "left_semi").select(*rows.columns)
 

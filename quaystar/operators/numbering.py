@@ -1,8 +1,8 @@
 """Numbering over whole tables without a single-task sort.
 
 A window without PARTITION BY sorts the whole table in one task. The operators here number in balanced tasks: keys by
-hash bucket, or by place in files already written; ordered positions by range partition; positions inside a group with
-the few oversized groups taken out and range partitioned.
+hash bucket, or by place in files already written; ordered positions, over the table or inside groups, by range
+partition. Each has one plan for every size of table.
 """
 
 from __future__ import annotations
@@ -12,11 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quaystar.operators.skew import hot_keys
 from quaystar.session import shared_folder
 
-# Up to this many rows a plain window in one task is cheaper than a range partition.
-ONE_TASK_ROWS = 1_000_000
 # Hex digits of the hash that make a bucket: 16**4 = 65,536 buckets, about 1.5 million rows each for 10**11 rows.
 BUCKET_DIGITS = 4
 
@@ -63,7 +60,7 @@ def assign_keys_in_files(written: DataFrame, key: str, start: Column | int = 0)
     start = F.lit(start) if isinstance(start, int) else start
     return (
         written.select("*", file, row)
-        .join(offsets, "_file")
+        .join(F.broadcast(offsets), "_file")  # one row per written file
         .select((start + F.col("_offset") + F.col("_row") + 1).cast("long").alias(key), *written.columns)
     )
 
@@ -117,32 +114,32 @@ def tile_of(position: Column, rows: int, tiles: int) -> Column:
     )
 
 
-def ntile_over_all(
-    rows: DataFrame, order: Sequence[str], tiles: int, name: str, row_count: int, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
+def ntile_over_all(rows: DataFrame, order: Sequence[str], tiles: int, name: str, row_count: int) -> DataFrame:
     """NTILE over the whole table. `order` must end in a unique column, so that ties have one result."""
-    if row_count <= one_task_rows:
-        return rows.withColumn(name, F.ntile(tiles).over(Window.orderBy(*order)))
     placed = global_positions(rows, order, "_position")
     return placed.withColumn(name, tile_of(F.col("_position"), row_count, tiles)).drop("_position")
 
 
-def positions_in_group(
-    rows: DataFrame, group: str, order: Sequence[str], name: str, hot_rows: int | None = None
-) -> DataFrame:
-    """row_number() per group, also when one group holds a large share of the table.
+def positions_in_group(rows: DataFrame, group: str, order: Sequence[str], name: str) -> DataFrame:
+    """row_number() per group, also when one group, NULL too, holds a large share of the table.
 
-    Groups of ordinary size use a plain window. The rows of the hot ones are numbered by range partition on
-    (group, order), less the first position of their group.
+    The rows are range partitioned by group and order and checkpointed, so a large group lies in several partitions. Rows
+    are numbered per partition and group; before those come the rows of the group in earlier partitions, which only
+    groups at the edge of a partition have: two rows per partition at most.
     """
-    plain = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    hot = hot_keys(rows, group, hot_rows)
-    if hot is None:
-        return rows.withColumn(name, plain)
-    small = rows.join(hot, group, "left_anti").select(*rows.columns).withColumn(name, plain)
-    placed = global_positions(rows.join(hot, group, "left_semi").select(*rows.columns), [group, *order], "_position")
-    firsts = placed.groupBy(group).agg(F.min("_position").alias("_first"))
-    large = placed.join(F.broadcast(firsts), group).select(
-        *rows.columns, (F.col("_position") - F.col("_first") + 1).cast("int").alias(name)
+    shared_folder(rows.sparkSession)
+    written = rows.repartitionByRange(group, *order).sortWithinPartitions(group, *order).checkpoint()
+    placed = written.withColumn("_part", F.spark_partition_id()).withColumn("_index", F.monotonically_increasing_id())
+    inside = F.row_number().over(Window.partitionBy("_part", group).orderBy("_index"))
+    of_part = placed.groupBy("_part", F.col(group).alias("_group")).agg(F.count("*").alias("_rows"), F.min("_index").alias("_from"))
+    in_part = Window.partitionBy("_part")
+    edges = of_part.withColumn("_first", F.min("_from").over(in_part)).withColumn("_last", F.max("_from").over(in_part))
+    edges = edges.where((F.col("_from") == F.col("_first")) | (F.col("_from") == F.col("_last")))
+    earlier = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = edges.select("_group", F.col("_part").alias("_of"), F.sum("_rows").over(earlier).alias("_before"))
+    before = F.broadcast(before.where("_before > 0"))
+    return (
+        placed.withColumn("_inside", inside)
+        .join(before, (F.col("_part") == F.col("_of")) & F.col(group).eqNullSafe(F.col("_group")), "left")
+        .select(*rows.columns, (F.col("_inside") + F.coalesce("_before", F.lit(0))).cast("int").alias(name))
     )
-    return small.unionByName(large)

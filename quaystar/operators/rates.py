@@ -16,12 +16,14 @@ KEY = [*PAIR, "rate_date"]
 COLUMNS = [*KEY, "rate_value", "fetched_at", "is_current"]
 
 
-def parse_payloads(payloads: DataFrame) -> DataFrame:
-    """Landed payload texts -> rate rows; a payload delivers the first element of its `rates`."""
+def _parsed(payloads: DataFrame) -> DataFrame:
+    """payload, fetched_at and the rate row of each payload; what a broken one lacks is null."""
     # As a generator, each payload is parsed once, not once per use of a value.
-    parsed = payloads.select("fetched_at", F.inline(F.array(F.from_json("payload", PAYLOAD))))
-    rate = F.col("rates")[0]
+    one = F.coalesce(F.from_json("payload", PAYLOAD), F.from_json(F.lit("{}"), PAYLOAD))
+    parsed = payloads.select("payload", "fetched_at", F.inline(F.array(one)))
+    rate = F.get("rates", F.lit(0))
     return parsed.select(
+        "payload",
         F.lit(SOURCE_SYSTEM).alias("source_system"),
         F.upper("code").alias("currency_code"),
         F.lit(BASE_CURRENCY).alias("base_currency"),
@@ -31,6 +33,22 @@ def parse_payloads(payloads: DataFrame) -> DataFrame:
     )
 
 
+def _whole() -> Column:
+    return F.col("currency_code").isNotNull() & F.col("rate_date").isNotNull() & F.col("rate_value").isNotNull()
+
+
+def parse_payloads(payloads: DataFrame) -> DataFrame:
+    """Landed payload texts -> rate rows; a payload delivers the first element of its `rates`. Broken payloads, without
+    a code, a date or a value, deliver nothing: they are in `refused_payloads`."""
+    return _parsed(payloads).where(_whole()).drop("payload")
+
+
+def refused_payloads(payloads: DataFrame) -> DataFrame:
+    """payload, fetched_at and the columns it has no value for, as a list text."""
+    lacking = [F.when(F.col(c).isNull(), F.lit(c)) for c in ("currency_code", "rate_date", "rate_value")]
+    return _parsed(payloads).where(~_whole()).select("payload", "fetched_at", F.concat_ws(",", *lacking).alias("missing"))
+
+
 def _is_pair(source: str, currency: str, base: str) -> Column:
     return (
         (F.col("source_system") == source) & (F.col("currency_code") == currency) & (F.col("base_currency") == base)
@@ -100,7 +118,7 @@ def orders_pln(fact_orders: DataFrame, rates: DataFrame) -> DataFrame:
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """Landed answers of the rate service, one per line; a file's time is the time of the fetch."""
-    return spark.read.text(path).select(
+    """Landed answers of the rate service, one per file, on any number of lines; a file's time is that of the fetch."""
+    return spark.read.text(path, wholetext=True).select(
         F.col("value").alias("payload"), F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("fetched_at")
     )

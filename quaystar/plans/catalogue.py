@@ -21,12 +21,14 @@ from quaystar.plans import history, reports, validation
 from quaystar.plans.warehouse import Warehouse
 from quaystar.schema import SOURCES, TABLES
 from quaystar.session import shared_folder, table_files
-from quaystar.sources.csv_files import OPTIONS, scan_csv
+from quaystar.sources.csv_files import scan_csv
 from quaystar.sources.order_tables import OrderTables
 from quaystar.sources.tables import TableStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Staging tables that take a shuffle to derive; they are stored once instead of being derived by each reader.
+STORED_STAGING = ("geolocation", "order_items", "order_reviews")
 RAW_TABLES = ("customer", "supplier", "part", "orders", "lineitem", "events")
 CHANGE_TIME, LATER_CHANGE_TIME = datetime(2024, 1, 2, 3, 4, 5), datetime(2024, 2, 2)
 # Orders bought before this day are loaded already when the delta comes.
@@ -42,7 +44,15 @@ class OrderWarehouse(Warehouse):
 
     def __init__(self, spark: SparkSession, folder: str, root: str):
         self.source, self.root = OrderTables(spark, folder), root
-        super().__init__(spark, TableStore(spark, root), self.source.builders)
+        super().__init__(spark, TableStore(spark, root), dict(self.source.builders))
+        for name in STORED_STAGING:
+            self.staging[name] = lambda name=name: self._stored_staging(name)
+
+    def _stored_staging(self, name: str) -> DataFrame:
+        """Stored under the state of the source files (see `warehouse`), so a copy is never older than its source."""
+        with self._building:
+            stored = f"staging__{name}"
+            return self.store.read(stored) if self.store.exists(stored) else self.store.replace(stored, self.source.builders[name]())
 
     def scratch_store(self) -> TableStore:
         return TableStore(self.spark, f"{self.root}/scratch/{uuid.uuid4().hex}")
@@ -140,6 +150,25 @@ def fk_reject(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _delivered_reviews(wh: OrderWarehouse) -> tuple[DataFrame, DataFrame]:
+    """Reviews of all orders as text, with repeated review ids, and the orders that were delivered: not those shipped."""
+    rows = wh.source.delivered_order_reviews()
+    text = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
+    return text, wh.source.orders().where(F.col("order_status") != "shipped")
+
+
+def staging_chain(spark: SparkSession, folder: str) -> DataFrame:
+    """Reviews through the whole staging load: typed, orphans refused, first per key; with the counts of the load."""
+    source = SOURCES["order_reviews"]
+    text, parents = _delivered_reviews(warehouse(spark, folder))
+    checked = ingest.refuse_orphans(ingest.typed(text, source), "order_id", parents, "order_id")
+    counts = ingest.load_counts(checked, source.key).select(F.struct("loaded", "duplicates", "errors")).scalar()
+    kept = ingest.first_per_key(ingest.accepted(checked), source.key)
+    return kept.select("review_id", "order_id", "review_score", counts.alias("counts")).select(
+        "review_id", "order_id", "review_score", "counts.*"
+    )
+
+
 def load_summary(spark: SparkSession, folder: str) -> DataFrame:
     wh = warehouse(spark, folder)
     lines = wh.source.raw("lineitem").select(
@@ -370,6 +399,27 @@ def rate_payload_json(spark: SparkSession, folder: str) -> DataFrame:
     return rates.parse_payloads(warehouse(spark, folder).source.rate_payloads())
 
 
+def rate_payload_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Payloads of which some are broken: no JSON, no rates, no value; and some on several lines, which is fine."""
+    wh = warehouse(spark, folder)
+    rows = wh.source.rate_payloads()
+    second = F.second("fetched_at")
+    payload = F.col("payload")
+    spoiled = (
+        F.when(second < 6, F.lit("<html>busy</html>"))
+        .when(second < 12, F.regexp_replace(payload, r"\[.*\]", "[]"))
+        .when(second < 18, F.replace(payload, F.lit('"mid"'), F.lit('"middle"')))
+        .when(second < 30, F.replace(payload, F.lit(","), F.lit(",\n  ")))
+        .otherwise(payload)
+    )
+    landed = rows.withColumn("payload", spoiled)
+    good = rates.parse_payloads(landed).select("fetched_at", "currency_code", "rate_value", F.lit(None).cast("string").alias("missing"))
+    refused = rates.refused_payloads(landed).select(
+        "fetched_at", F.lit(None).cast("string").alias("currency_code"), F.lit(None).cast("decimal(18,6)").alias("rate_value"), "missing"
+    )
+    return good.unionByName(refused)
+
+
 def merge_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Stored rates of the earlier fetches, merged with the later ones; one date is in both."""
     wh = warehouse(spark, folder)
@@ -413,6 +463,39 @@ def _check(build: Callable[[validation.Tables], DataFrame]) -> Query:
     return lambda spark, folder: build(warehouse(spark, folder).table)
 
 
+def _with_defects(folder_tables: validation.Tables) -> validation.Tables:
+    """The tables with defects: customers of one segment twice, sellers of one region three times, lines without a
+    customer or product key, and lines of products that the dimension lacks."""
+
+    def table(name: str) -> DataFrame:
+        rows = folder_tables(name)
+        if name == "dim_customer":
+            return rows.unionByName(rows.where(F.col("customer_city") == "MACHINERY"))
+        if name == "dim_seller":
+            twice = rows.where(F.col("region_name") == "South")
+            return rows.unionByName(twice).unionByName(twice)
+        if name == "dim_product":
+            return rows.where(F.col("size_class") != "Small")
+        if name == "fact_order_items":
+            return rows.withColumns({
+                "customer_key": F.when(F.col("order_item_id") != 2, F.col("customer_key")),
+                "seller_key": F.when(F.col("price") < 50_000, F.col("seller_key")),
+            })
+        return rows
+
+    return table
+
+
+def _defect_check(build: Callable[[validation.Tables], DataFrame]) -> Query:
+    return lambda spark, folder: build(_with_defects(warehouse(spark, folder).table))
+
+
+def category_share_without_small(spark: SparkSession, folder: str) -> DataFrame:
+    """Category shares when the dimension lacks some products of the lines."""
+    table = _with_defects(warehouse(spark, folder).table)
+    return reports.category_share(table("fact_order_items"), table("dim_product"))
+
+
 RUN_COLUMNS = [
     "etl_run_id",
     "run_name",
@@ -450,11 +533,13 @@ QUERIES: dict[str, Query] = {
     "typed_load_rejects": typed_load_rejects,
     "pk_dedup_first": pk_dedup_first,
     "fk_reject": fk_reject,
+    "staging_chain": staging_chain,
     "load_summary": load_summary,
     "load_manifest": load_manifest,
     "manifest_bootstrap": manifest_bootstrap,
     "selective_reload": selective_reload,
     "rate_payload_json": rate_payload_json,
+    "rate_payload_rejects": rate_payload_rejects,
     "append_defaults": append_defaults,
     "skip_if_loaded": skip_if_loaded,
     "warehouse_load": warehouse_load,
@@ -489,7 +574,7 @@ QUERIES: dict[str, Query] = {
     "delta_agg_refresh": delta_agg_refresh,
     "latest_rate": latest_rate,
     "orders_pln_view": orders_pln_view,
-    "global_ntile": _report(reports.customer_quartiles, "fact_orders", "dim_customer", one_task_rows=0),
+    "global_ntile": _report(reports.customer_quartiles, "fact_orders", "dim_customer"),
     "rpt_monthly_category": _report(reports.monthly_category, "agg_monthly_sales"),
     "rpt_delay_by_region": _report(reports.delay_by_region, "fact_orders", "dim_customer"),
     "rpt_seller_rank": _report(reports.seller_rank, "fact_order_items", "dim_seller", "fact_reviews"),
@@ -507,6 +592,10 @@ QUERIES: dict[str, Query] = {
     "val_revenue_recon": _check(validation.revenue_reconciliation),
     "val_orphan_customers": _check(validation.orphan_customers),
     "val_orphan_products": _check(validation.orphan_products),
+    "val_duplicate_keys_defects": _defect_check(validation.duplicate_keys),
+    "val_missing_keys_defects": _defect_check(validation.missing_keys),
+    "val_orphan_products_defects": _defect_check(validation.orphan_products),
+    "rpt_category_share_defects": category_share_without_small,
     "audit_validation_results": _check(validation.validation_results),
     "audit_run_log": audit_run_log,
     "audit_latest": audit_latest,

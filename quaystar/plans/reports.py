@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quaystar.functions.columns import MONEY, flag, mean, money_sum, percent, ratio
-from quaystar.operators.numbering import ONE_TASK_ROWS, ntile_over_all
+from quaystar.operators.numbering import ntile_over_all
 from quaystar.session import shared_folder
 
 MEAN = "decimal(10,2)"
@@ -193,7 +193,8 @@ def category_share(fact_items: DataFrame, dim_product: DataFrame, rows: int = 30
     )
     by_revenue = Window.orderBy(F.desc("total_revenue"), "category_name_en")
     running = F.sum("total_revenue").over(by_revenue.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    whole = fact_items.agg(F.sum(_amount()).cast(MONEY)).scalar()
+    # The whole is that of the categories: lines of products without a row have no share.
+    whole = revenue.agg(F.sum("total_revenue").cast(MONEY)).scalar()
     return (
         revenue.orderBy(F.desc("total_revenue"), "category_name_en")
         .limit(rows)
@@ -216,9 +217,7 @@ def category_share(fact_items: DataFrame, dim_product: DataFrame, rows: int = 30
     )
 
 
-def customer_quartiles(
-    fact_orders: DataFrame, dim_customer: DataFrame, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
+def customer_quartiles(fact_orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Spending and order-count quartile of each customer with orders."""
     shared_folder(fact_orders.sparkSession)
     spent = fact_orders.groupBy("customer_key").agg(
@@ -227,17 +226,17 @@ def customer_quartiles(
     customers = dim_customer.select("customer_key", "customer_id", "region_name")
     metrics = spent.join(customers, "customer_key").drop("customer_key").checkpoint()
     count = metrics.count()
-    by_money = ntile_over_all(metrics, ["total_spent", "customer_id"], 4, "monetary_quartile", count, one_task_rows)
-    return ntile_over_all(by_money, ["orders_count", "customer_id"], 4, "frequency_quartile", count, one_task_rows)
+    by_money = ntile_over_all(metrics, ["total_spent", "customer_id"], 4, "monetary_quartile", count)
+    return ntile_over_all(by_money, ["orders_count", "customer_id"], 4, "frequency_quartile", count)
 
 
-def customer_segments(fact_orders: DataFrame, dim_customer: DataFrame, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def customer_segments(fact_orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
     money, frequency = F.col("monetary_quartile"), F.col("frequency_quartile")
     segment = (
         F.when((money == 4) & (frequency >= 3), "High value").when(money >= 3, "Medium value").otherwise("Low value")
     )
     return (
-        customer_quartiles(fact_orders, dim_customer, one_task_rows)
+        customer_quartiles(fact_orders, dim_customer)
         .groupBy(segment.alias("customer_segment"), "region_name")
         .agg(
             F.count("*").alias("customers_count"),

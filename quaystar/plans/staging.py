@@ -14,10 +14,9 @@ from quaystar.operators.ingest import (
     first_per_key,
     load_counts,
     load_decisions,
-    orphans,
+    refuse_orphans,
     rejected,
     typed,
-    with_parent,
 )
 from quaystar.schema import SOURCES, Source
 from quaystar.sources.csv_files import scan_csv
@@ -28,10 +27,13 @@ MANIFEST = "load_manifest"
 
 @dataclass(frozen=True)
 class Loaded:
+    """What a load of one table did; `failure` says why there was none, as when a file or the parent table is missing."""
+
     table: str
-    loaded: int
-    duplicates: int
-    errors: int
+    loaded: int = 0
+    duplicates: int = 0
+    errors: int = 0
+    failure: str | None = None
 
 
 class StagingLoad:
@@ -56,29 +58,35 @@ class StagingLoad:
         """Load one table. Rows that cannot be stored go to <table>__rejects; only a clean load enters the manifest."""
         table = source.table
         scanned = scan_csv(self.spark, f"{self.folder}/{source.files}", source)
-        # Written once, since the counts, the good rows and the rejects are three readings.
-        checked = self.store.written(f"{table}__checked", typed(scanned, source))
-        counts = load_counts(checked, source.key).first()
-        good, refused = first_per_key(accepted(checked), source.key), rejected(checked)
+        checked = typed(scanned, source)
         if source.parent:
             column, parent = source.parent
-            parent_rows = self.store.read(parent)
-            astray = orphans(good, column, parent_rows, column)
-            refused = refused.unionByName(astray.withColumn("_errors", F.lit(column)))
-            good = with_parent(good, column, parent_rows, column)
-        self.store.replace(f"{table}__rejects", refused)
-        self.store.replace(table, good)
+            checked = refuse_orphans(checked, column, self.store.read(parent), column)
+        # Written once, since the counts, the good rows and the rejects are three readings.
+        checked = self.store.written(f"{table}__checked", checked)
+        counts = load_counts(checked, source.key).first()
+        self.store.replace(f"{table}__rejects", rejected(checked))
+        self.store.replace(table, first_per_key(accepted(checked), source.key))
         loaded, errors = self.store.row_count(table), self.store.row_count(f"{table}__rejects")
         if errors == 0:
             self._record(table, loaded)
         return Loaded(table, loaded, counts.duplicates, errors)
 
     def load_all(self, skip_existing: bool = True, reload: Sequence[str] = ()) -> list[Loaded]:
-        """Load what the manifest does not show as complete, and the tables in `reload`."""
+        """Load what the manifest does not show as complete, and the tables in `reload`.
+
+        A table that fails does not stop the others; its place in the result says why it failed.
+        """
         counts, manifest = self.actual_counts(), self.manifest()
         if reload:
             manifest = self.store.replace(MANIFEST, bootstrap_manifest(counts, manifest, reload).coalesce(1))
         action = {
             row.table_name: row.action for row in load_decisions(counts, manifest, reload, skip_existing).collect()
         }
-        return [self.load_table(source) for source in SOURCES.values() if action[source.table] != "skip"]
+        return [self._attempt(source) for source in SOURCES.values() if action[source.table] != "skip"]
+
+    def _attempt(self, source: Source) -> Loaded:
+        try:
+            return self.load_table(source)
+        except Exception as failure:  # whatever it is, the other tables are loaded, and the caller is told
+            return Loaded(source.table, failure=f"{type(failure).__name__}: {failure}")

@@ -40,8 +40,10 @@ class TableStore:
         try:
             # One row per table write, so the list is short however large the tables are.
             return self.commits().orderBy("sequence").collect()
-        except AnalysisException:  # nothing was ever written here
-            return []
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []  # nothing was ever written here
 
     def commits(self) -> DataFrame:
         return self.spark.read.schema(COMMITS).parquet(f"{self.root}/_commits")

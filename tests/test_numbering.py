@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quaystar.operators.numbering import (
@@ -51,29 +52,36 @@ def test_global_positions_follow_the_order(spark):
 def test_tiles_match_ntile(spark, count):
     numbers = spark.range(1, count + 1).select(F.col("id").alias("position"))
     distributed = numbers.select("position", tile_of(F.col("position"), count, 4).alias("tile"))
-    plain = ntile_over_all(numbers, ["position"], 4, "tile", count)
+    plain = numbers.withColumn("tile", F.ntile(4).over(Window.orderBy("position")))
     assert sorted(map(tuple, distributed.collect())) == sorted(map(tuple, plain.collect()))
+    placed = ntile_over_all(numbers, ["position"], 4, "tile", count)
+    assert sorted(map(tuple, placed.collect())) == sorted(map(tuple, plain.collect()))
 
 
-def test_both_ways_of_ntile_agree(spark, rows):
+def test_ntile_of_ties(spark, rows):
     chance = random.Random(8)
     frame = spark.createDataFrame([(chance.randrange(5), i) for i in range(1003)], "v int, id int")
-    plain = ntile_over_all(frame, ["v", "id"], 4, "tile", 1003)
-    distributed = ntile_over_all(frame, ["v", "id"], 4, "tile", 1003, one_task_rows=0)
-    assert rows(plain) == rows(distributed)
+    plain = frame.withColumn("tile", F.ntile(4).over(Window.orderBy("v", "id")))
+    assert rows(ntile_over_all(frame, ["v", "id"], 4, "tile", 1003)) == rows(plain)
 
 
-@pytest.mark.parametrize("hot_rows", [10, 200, 10_000])
-def test_positions_in_a_hot_group(spark, hot_rows):
+@pytest.mark.parametrize("partitions", [1, 3, 40])
+def test_positions_in_a_hot_group(spark, partitions):
     chance = random.Random(11)
-    values = [("hot" if chance.random() < 0.4 else f"g{chance.randrange(40)}", chance.random(), i) for i in range(2000)]
+    groups = [None if chance.random() < 0.2 else "hot" if chance.random() < 0.4 else f"g{chance.randrange(40)}" for _ in range(2000)]
+    values = [(group, chance.random(), i) for i, group in enumerate(groups)]
     frame = spark.createDataFrame(values, "g string, v double, id int").repartition(6)
-    placed = positions_in_group(frame, "g", ["v", "id"], "n", hot_rows)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        found = {row.id: row.n for row in positions_in_group(frame, "g", ["v", "id"], "n").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     expected, seen = {}, {}
-    for group, value, number in sorted(values):
+    for group, value, number in sorted(values, key=lambda row: (str(row[0]), *row[1:])):
         seen[group] = seen.get(group, 0) + 1
         expected[number] = seen[group]
-    assert {row.id: row.n for row in placed.collect()} == expected
+    assert found == expected
 
 
 def test_keys_in_files(spark, tmp_path):

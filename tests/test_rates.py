@@ -109,3 +109,17 @@ def test_conversion_without_a_rate_is_empty(spark):
     known = spark.createDataFrame([("NBP", "BRL", "PLN", day, Decimal("0.814500"), time, 0)], columns)
     converted = rates.orders_pln(orders, known).first()
     assert (str(converted.total_order_value_pln), converted.exchange_rate_date) == ("8.15", day)
+
+
+def test_broken_payloads_are_refused(spark, tmp_path):
+    good = {"code": "brl", "rates": [{"effectiveDate": "2024-01-05", "mid": 0.81}]}
+    texts = [json.dumps(good, indent=2), "", "no json", "{}", json.dumps({"code": "brl", "rates": []}), json.dumps({**good, "code": None})]
+    for number, text in enumerate(texts):
+        (tmp_path / f"{number}.json").write_text(text)
+    landed = rates.read_payloads(spark, str(tmp_path))
+    assert [row.currency_code for row in rates.parse_payloads(landed).collect()] == ["BRL"]
+    missing = {row.payload: row.missing for row in rates.refused_payloads(landed).collect()}
+    every = "currency_code,rate_date,rate_value"
+    assert missing["no json"] == missing["{}"] == every
+    assert missing[texts[4]] == "rate_date,rate_value" and missing[texts[5]] == "currency_code"
+    assert len(missing) in (4, 5)  # Spark reads an empty file as no row

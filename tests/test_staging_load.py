@@ -106,3 +106,62 @@ def test_resume_and_reload(rows, delivery, first_load):
     ]
     assert ("order_payments", 2) in rows(store.read(MANIFEST))
     assert [done.table for done in load.load_all()] == ["order_payments"]
+
+
+def test_an_orphan_does_not_displace_a_good_row(spark, rows, tmp_path, tmp_path_factory):
+    for table, values in DELIVERED.items():
+        deliver(tmp_path, table, values)
+    review = DELIVERED["order_reviews"][0]
+    deliver(tmp_path, "order_reviews", [["r1", "gone", *review[2:]], review, ["r2", "o2", *review[2:]]])
+    load = StagingLoad(spark, TableStore(spark, str(tmp_path_factory.mktemp("store"))), str(tmp_path))
+    done = {one.table: one for one in load.load_all()}["order_reviews"]
+    assert (done.loaded, done.duplicates, done.errors) == (2, 0, 1)
+    assert rows(load.store.read("order_reviews"), "review_id", "order_id") == [("r1", "o1"), ("r2", "o2")]
+
+
+def test_a_failed_table_does_not_stop_the_others(spark, rows, tmp_path, tmp_path_factory):
+    for table, values in DELIVERED.items():
+        if table != "geolocation":
+            deliver(tmp_path, table, values)
+    place = [["01000", "NaN", "-46.6", "sao paulo", "SP"], ["01000", "Infinity", "1", "x", "SP"], ["01000", "-23.5", "-46.6", "y", "SP"]]
+    load = StagingLoad(spark, TableStore(spark, str(tmp_path_factory.mktemp("store"))), str(tmp_path))
+    done = {one.table: one for one in load.load_all()}
+    assert set(done) == set(SOURCES) and [name for name, one in done.items() if one.failure] == ["geolocation"]
+    assert "PATH_NOT_FOUND" in done["geolocation"].failure
+    deliver(tmp_path, "geolocation", place)
+    again = load.load_all()
+    assert [(one.table, one.loaded, one.errors, one.failure) for one in again] == [("geolocation", 1, 2, None)]
+
+
+def test_keys_survive_a_load_that_fails_half_way(spark, tmp_path, tmp_path_factory, monkeypatch):
+    for table, values in DELIVERED.items():
+        deliver(tmp_path, table, values)
+    store = TableStore(spark, str(tmp_path_factory.mktemp("store")))
+    staging = StagingLoad(spark, store, str(tmp_path))
+    staging.load_all()
+    warehouse = Warehouse(spark, store, staged(store))
+    warehouse.load()
+
+    def customer_of():
+        joined = warehouse.table("fact_orders").join(warehouse.table("dim_customer"), "customer_key")
+        return {row.order_id: row.customer_id for row in joined.collect()}
+
+    assert customer_of() == {"o1": "c1", "o2": "c2"}
+    added = [[f"n{k}", f"v{k}", "01000", "sao paulo", "SP"] for k in range(40)]
+    deliver(tmp_path, "customers", DELIVERED["customers"] + added)
+    staging.load_all(reload=["customers"])
+    real = warehouse.build
+
+    def failing(name):
+        if name == "fact_order_items":
+            raise RuntimeError("lost")
+        return real(name)
+
+    monkeypatch.setattr(warehouse, "build", failing)
+    with pytest.raises(RuntimeError):
+        warehouse.load(force=True)
+    monkeypatch.undo()
+    warehouse.load()
+    assert customer_of() == {"o1": "c1", "o2": "c2"}
+    keys = [row.customer_key for row in warehouse.table("dim_customer").collect()]
+    assert sorted(keys) == list(range(1, 43))

@@ -22,7 +22,7 @@ def stands(kind, value):
     digits = re.sub("[^0-9]", "", value)
     return {
         "email": True,
-        "ip": kind == "ip" and all(int(part) <= 255 for part in value.split(".")),
+        "ip": kind == "ip" and all(int(part.lstrip("0")[:4] or 0) <= 255 for part in value.split(".")),
         "card": 14 <= len(digits) <= 19 and luhn(digits),
         "phone": 10 <= len(digits) <= 15,
     }[kind]

@@ -131,6 +131,10 @@ ORACLES: dict[str, str] = {
                END AS review_comment_message,
                created AS review_creation_date, answered AS review_answer_timestamp
         FROM delivered_reviews""",
+    "csv_lone_quotes": """
+        SELECT review_id, order_id, review_score, CAST(review_score AS VARCHAR) || '" shelf of ' || order_id AS review_comment_message,
+               created AS review_creation_date, answered AS review_answer_timestamp
+        FROM delivered_reviews""",
     "null_tokens": """
         SELECT CAST(p_partkey AS VARCHAR) AS part_id,
                CASE WHEN p_partkey % 7 = 0 OR p_partkey % 11 = 0 THEN NULL ELSE p_name END AS part_name, p_brand
@@ -357,6 +361,27 @@ ORACLES: dict[str, str] = {
     "val_orphan_products": """
         SELECT count(*) AS orphan_rows FROM fact_order_items f LEFT JOIN dim_product p ON f.product_key = p.product_key
         WHERE p.product_key IS NULL""",
+    "dropped_rows": f"""
+        SELECT 'fact_orders' AS fact, outcome, count(*) AS row_count FROM (
+            SELECT CASE WHEN {date_key('bought')} NOT IN (SELECT date_key FROM dim_date) THEN 'bought outside the calendar'
+                        WHEN customer_id NOT IN (SELECT customer_id FROM dim_customer) THEN 'unknown customer'
+                        WHEN order_status NOT IN (SELECT status_code FROM dim_order_status) THEN 'unknown status'
+                        WHEN order_id NOT IN (SELECT order_id FROM fact_orders) THEN 'delivery outside the calendar'
+                        ELSE 'stored' END AS outcome FROM st_orders) GROUP BY ALL
+        UNION ALL
+        SELECT 'fact_payments', outcome, count(*) FROM (
+            SELECT CASE WHEN payment_type NOT IN (SELECT payment_type_code FROM dim_payment_type) THEN 'unknown payment type'
+                        WHEN o.order_id IS NULL THEN 'unknown order or customer'
+                        WHEN {date_key('bought')} NOT IN (SELECT date_key FROM dim_date) THEN 'bought outside the calendar'
+                        ELSE 'stored' END AS outcome
+            FROM st_payments p LEFT JOIN st_orders o ON p.order_id = o.order_id) GROUP BY ALL
+        UNION ALL
+        SELECT 'fact_reviews', outcome, count(*) FROM (
+            SELECT CASE WHEN {date_key('created')} NOT IN (SELECT date_key FROM dim_date) THEN 'written outside the calendar'
+                        WHEN o.order_id IS NULL THEN 'unknown order or customer'
+                        WHEN r.order_id NOT IN (SELECT order_id FROM st_items) THEN 'order without lines'
+                        ELSE 'stored' END AS outcome
+            FROM st_reviews r LEFT JOIN st_orders o ON r.order_id = o.order_id) GROUP BY ALL""",
     "val_duplicate_keys_defects": """
         SELECT 'dim_customer' AS table_name, customer_id AS business_key, 2 AS duplicated_count FROM dim_customer
         WHERE customer_city = 'MACHINERY'

@@ -110,6 +110,20 @@ def csv_free_text_scan(spark: SparkSession, folder: str) -> DataFrame:
     return ingest.accepted(ingest.typed(scanned, source)).drop("review_comment_title")
 
 
+def csv_lone_quotes(spark: SparkSession, folder: str) -> DataFrame:
+    """Reviews whose messages hold one quote each, not enclosed in quotes; the good ones come in files of another column
+    order."""
+    wh, source = warehouse(spark, folder), SOURCES["order_reviews"]
+    rows = wh.source.delivered_order_reviews().withColumn(
+        "review_comment_message", F.concat(F.col("review_score").cast("string"), F.lit('" shelf of '), "order_id")
+    )
+    text = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
+    path, good = f"{wh.root}/csv/{uuid.uuid4().hex}/order_reviews", F.col("review_score") > "3"
+    for part, columns in ((text.where(~good), text.columns), (text.where(good), text.columns[::-1])):
+        part.select(*columns).write.mode("append").options(header=True, quote='"', escapeQuotes=False).csv(path)
+    return ingest.accepted(ingest.typed(scan_csv(spark, path, source), source)).drop("review_comment_title")
+
+
 def null_tokens(spark: SparkSession, folder: str) -> DataFrame:
     key, name = F.col("p_partkey"), F.col("p_name")
     text = F.when(key % 7 == 0, "").when(key % 11 == 0, "nan").otherwise(F.concat(F.lit('"'), name, F.lit('"')))
@@ -463,6 +477,11 @@ def _check(build: Callable[[validation.Tables], DataFrame]) -> Query:
     return lambda spark, folder: build(warehouse(spark, folder).table)
 
 
+def dropped_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Where the staging rows of orders, payments and reviews go: into their fact, or out of the load, and why."""
+    return validation.dropped_rows(warehouse(spark, folder).table)
+
+
 def _with_defects(folder_tables: validation.Tables) -> validation.Tables:
     """The tables with defects: customers of one segment twice, sellers of one region three times, lines without a
     customer or product key, and lines of products that the dimension lacks."""
@@ -529,6 +548,7 @@ def audit_latest(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "csv_scan": csv_scan,
     "csv_free_text_scan": csv_free_text_scan,
+    "csv_lone_quotes": csv_lone_quotes,
     "null_tokens": null_tokens,
     "typed_load_rejects": typed_load_rejects,
     "pk_dedup_first": pk_dedup_first,
@@ -592,6 +612,7 @@ QUERIES: dict[str, Query] = {
     "val_revenue_recon": _check(validation.revenue_reconciliation),
     "val_orphan_customers": _check(validation.orphan_customers),
     "val_orphan_products": _check(validation.orphan_products),
+    "dropped_rows": dropped_rows,
     "val_duplicate_keys_defects": _defect_check(validation.duplicate_keys),
     "val_missing_keys_defects": _defect_check(validation.missing_keys),
     "val_orphan_products_defects": _defect_check(validation.orphan_products),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quaystar.functions.columns import MONEY, flag
+from quaystar.functions.columns import MONEY, date_key, flag
 from quaystar.schema import TABLES
 from quaystar.sources.tables import TableStore
 
@@ -98,6 +98,65 @@ def orphan_products(table: Tables) -> DataFrame:
     return _count(orphans, "orphan_rows")
 
 
+def dropped_rows(table: Tables) -> DataFrame:
+    """fact, outcome, row_count: the staging rows of orders, payments and reviews by what becomes of them.
+
+    'stored', or the first reason that keeps a row out of its fact. The counts of a fact add up to its staging rows.
+    """
+    days = F.broadcast(table("dim_date").select(F.col("date_key").alias("_day")))  # one row per calendar day
+    known = {
+        "customer": table("dim_customer").select(F.col("customer_id").alias("_customer")),
+        "status": F.broadcast(table("dim_order_status").select(F.col("status_code").alias("_status"))),
+        "type": F.broadcast(table("dim_payment_type").select(F.col("payment_type_code").alias("_type"))),
+    }
+
+    def in_calendar(rows: DataFrame, day: Column, name: str) -> DataFrame:
+        """name: whether the day is in the calendar; null if there is no day."""
+        rows = rows.withColumn("_key", date_key(day)).join(days, F.col("_key") == F.col("_day"), "left")
+        return rows.withColumn(name, F.when(F.col("_key").isNotNull(), F.col("_day").isNotNull())).drop("_key", "_day")
+
+    orders = table("orders").join(known["status"], F.col("order_status") == F.col("_status"), "left")
+    orders = orders.join(known["customer"], F.col("customer_id") == F.col("_customer"), "left")
+    for name, day in (
+        ("_bought", "order_purchase_timestamp"),
+        ("_estimated", "order_estimated_delivery_date"),
+        ("_delivered", "order_delivered_customer_date"),
+    ):
+        orders = in_calendar(orders, F.col(day), name)
+    no_customer = F.when(~F.coalesce("_bought", F.lit(False)), "bought outside the calendar").when(
+        F.col("_customer").isNull(), "unknown customer"
+    )
+    late = ~F.coalesce("_estimated", F.lit(True)) | ~F.coalesce("_delivered", F.lit(True))
+    of_order = no_customer.when(F.col("_status").isNull(), "unknown status").when(late, "delivery outside the calendar")
+    sound = orders.where(F.col("_customer").isNotNull()).select(F.col("order_id").alias("_order"), F.col("_bought").alias("_in"))
+
+    payments = table("order_payments").join(known["type"], F.col("payment_type") == F.col("_type"), "left")
+    payments = payments.join(sound, F.col("order_id") == F.col("_order"), "left")
+    of_payment = (
+        F.when(F.col("_type").isNull(), "unknown payment type")
+        .when(F.col("_order").isNull(), "unknown order or customer")
+        .when(~F.coalesce("_in", F.lit(False)), "bought outside the calendar")
+    )
+    lines = table("order_items").select(F.col("order_id").alias("_with_lines")).distinct()
+    reviews = in_calendar(table("order_reviews"), F.col("review_creation_date"), "_created")
+    reviews = reviews.join(sound.select("_order"), F.col("order_id") == F.col("_order"), "left")
+    reviews = reviews.join(lines, F.col("order_id") == F.col("_with_lines"), "left")
+    of_review = (
+        F.when(~F.coalesce("_created", F.lit(False)), "written outside the calendar")
+        .when(F.col("_order").isNull(), "unknown order or customer")
+        .when(F.col("_with_lines").isNull(), "order without lines")
+    )
+    counts = [
+        rows.groupBy(F.lit(fact).alias("fact"), outcome.otherwise("stored").alias("outcome")).agg(F.count("*").alias("row_count"))
+        for fact, rows, outcome in (
+            ("fact_orders", orders, of_order),
+            ("fact_payments", payments, of_payment),
+            ("fact_reviews", reviews, of_review),
+        )
+    ]
+    return _union(counts)
+
+
 def validation_results(table: Tables, run_id: int = 1, first_id: int = 1) -> DataFrame:
     """The six recorded checks."""
     duplicates = table("dim_product").groupBy("product_id").count().where(F.col("count") > 1)

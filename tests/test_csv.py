@@ -37,7 +37,7 @@ def test_split_scan_finds_every_record(spark, rows, tmp_path, small_blocks, line
         values = [(f"{part}-{i}", chance.choice(texts), chance.choice(["1", 'q"'])) for i in range(700)]
         write(tmp_path / f"{part}.csv", ["id", "note", "tail"], values, line_end)
         expected += values
-    assert rows(scan_split_csv(spark, str(tmp_path))) == sorted(expected, key=str)
+    assert rows(scan_split_csv(spark, str(tmp_path), ["id", "note", "tail"])) == sorted(expected, key=str)
 
 
 def test_both_scans_resolve_tokens_and_map_columns_by_name(spark, rows, tmp_path):
@@ -58,7 +58,28 @@ def test_quoted_header_short_and_empty_lines(spark, rows, tmp_path):
 def test_unpaired_quote_is_refused(spark, tmp_path):
     (tmp_path / "x.csv").write_text('id,note,tail\n1,"open,b\n2,c,d\n', encoding="utf-8")
     with pytest.raises(Exception, match="unpaired quote"):
-        scan_split_csv(spark, str(tmp_path)).collect()
+        scan_split_csv(spark, str(tmp_path), ["id", "note", "tail"]).collect()
+
+
+def test_quotes_in_unquoted_values_lose_nothing(spark, rows, tmp_path, small_blocks):
+    """As the csv module reads them: a quote that does not begin a field is an ordinary character."""
+    chance = random.Random(6)
+    notes = ['a 5" shelf', 'another 7" one', '"two\nlines, quoted"', 'plain', '""', '"say ""hi"""', 'end"', '"\n\n"', '" led by"']
+    lines = [f"{k},{chance.choice(notes)},{chance.choice(['1', '12 inch'])}" for k in range(400)]
+    text = "\n".join(["id,note,tail", *lines]) + "\n"
+    (tmp_path / "x.csv").write_text(text, encoding="utf-8")
+    expected = [tuple(value or None for value in row) for row in csv.reader(text.splitlines(keepends=True))][1:]
+    found = rows(scan_csv(spark, str(tmp_path), NOTES))
+    assert len(found) == 400 and [row[0] for row in found] == sorted((row[0] for row in expected))
+    strip = lambda found: sorted((row[0], (row[1] or "").strip('"'), row[2]) for row in found)
+    assert strip(found) == strip(expected)
+
+
+@pytest.mark.parametrize("source", [LINES, NOTES])
+def test_files_of_different_column_order(spark, rows, tmp_path, source):
+    write(tmp_path / "a.csv", ["id", "note", "tail"], [("1", "n1", "t1")])
+    write(tmp_path / "b.csv", ["tail", "id", "extra", "note"], [("t2", "2", "e", "n2")])
+    assert rows(scan_csv(spark, str(tmp_path), source)) == [("1", "n1", "t1"), ("2", "n2", "t2")]
 
 
 def test_missing_column_is_named(spark, tmp_path):

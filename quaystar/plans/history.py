@@ -26,7 +26,9 @@ def load_history(warehouse: Warehouse) -> DataFrame:
 def change_products(warehouse: Warehouse, changes: DataFrame, change_time: datetime) -> DataFrame:
     """Close the versions the changes end and open the new ones. `changes` has one row per product."""
     table, stored = TABLES[NAME], load_history(warehouse)
-    closed = scd2.close_changed(stored, changes, change_time)
+    # Written once: the new versions are found from it, and it is part of the result.
+    closed = warehouse.store.written(f"{NAME}__closed", scd2.close_changed(stored, changes, change_time))
     opened = scd2.opened(closed, changes, change_time)
+    opened = warehouse.store.written(f"{NAME}__opened", opened)
     keyed = assign_keys(opened, table.business_key, table.identity, highest_key(stored, table.identity))
     return warehouse.store.replace(NAME, closed.unionByName(table.shape(keyed)))

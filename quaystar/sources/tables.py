@@ -18,6 +18,10 @@ from pyspark.sql.types import StructType
 COMMITS = "sequence bigint, table_name string, mode string, folder string, row_count bigint, committed_at timestamp"
 
 
+# Kinds of intermediate rows: what follows the table and two underscores in their folder's name.
+INTERMEDIATE = ("checked", "rows", "merged", "closed", "opened")
+
+
 @dataclass(frozen=True)
 class Part:
     folder: str
@@ -83,6 +87,25 @@ class TableStore:
     def append(self, table: str, rows: DataFrame) -> DataFrame:
         return self._write(table, rows, "append")
 
+    def vacuum(self) -> list[str]:
+        """Delete the folders of tables that no commit names any more: replaced tables and intermediate rows.
+
+        For times when nothing reads or writes the store; frames made before may read folders that go. Returns them.
+        """
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        root = hadoop.Path(self.root)
+        system = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        named = {part.folder for parts in self._parts.values() for part in parts}
+        tables = set(self._parts) | {f"{table}__{kind}" for table in self._parts for kind in INTERMEDIATE}
+        gone = []
+        for table in sorted(tables):
+            path = hadoop.Path(root, table)
+            for status in system.listStatus(path) if system.exists(path) else []:
+                folder = f"{table}/{status.getPath().getName()}"
+                if folder not in named and system.delete(status.getPath(), True):
+                    gone.append(folder)
+        return gone
+
     def row_count(self, table: str) -> int:
         """Rows as recorded by the commits; 0 for an unknown table."""
         return sum(part.rows for part in self._parts.get(table, []))

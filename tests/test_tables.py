@@ -25,3 +25,15 @@ def test_empty_table(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     assert store.replace("t", spark.createDataFrame([], "n int")).isEmpty()
     assert store.exists("t") and store.row_count("t") == 0
+
+
+def test_vacuum_deletes_what_no_commit_names(spark, rows, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    for count in (3, 5):
+        store.replace("a", store.written("a__rows", spark.range(count).toDF("n")))
+    store.append("a", spark.range(2).toDF("n"))
+    store.replace("b", spark.range(1).toDF("n"))
+    gone = store.vacuum()
+    assert sorted(folder.split("/")[0] for folder in gone) == ["a", "a__rows", "a__rows"]
+    again = TableStore(spark, str(tmp_path))
+    assert again.read("a").count() == 7 and again.read("b").count() == 1 and again.vacuum() == []

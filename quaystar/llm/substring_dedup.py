@@ -18,6 +18,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,13 +28,16 @@ from quaystar.llm.common import Batches, stored, utf8, words_of
 
 WINDOW = 20
 ANCHOR = 8
-BLOCK_CHARS = 32 << 20
+BLOCK_CHARS = 8 << 20
 NO_ID = (1 << 63) - 1  # documents without an id come last
-DOCS = "block int, doc_order long, doc_id {id}, text_key binary, text_hash long, n_words long, whole_sha binary, hashes binary, owners binary"
-SUSPECTS = "block int, doc_order long, text_key binary, text binary, entries binary, docs binary, found binary"
-ENTRY = np.dtype([("high", "<u8"), ("low", "<u8"), ("doc", "<u4"), ("start", "<u4")])
-OWNER = np.dtype([("order", "<i8"), ("key", "V16")])
+DOCS = "doc_order long, doc_id {id}, text_key binary, text_hash long, n_words long, whole_sha binary"
+ANCHORS = "block int, known boolean, hashes binary, owners binary"
+SUSPECTS = "block int, doc_order long, text_hash long, text binary, entries binary, docs binary, found binary"
+# 96 bits of a window's hash; a document is told by its order and the hash of its text.
+ENTRY = np.dtype([("high", "<u8"), ("low", "<u4"), ("doc", "<u4"), ("start", "<u4")])
+OWNER = np.dtype([("order", "<i8"), ("text_hash", "<i8")])
 FOUND = np.dtype([("start", "<u4"), ("reference_start", "<u4"), ("reference", "<i8")])
+FOUND_OF = "owner_block int, owners binary, found binary"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -73,90 +77,105 @@ def anchors(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return runs[np.arange(len(runs)), place], np.arange(len(runs)) + place
 
 
-def _document_rows(blocks: int):
-    """Rows of documents (block null), and rows of anchors for each block."""
+def _document_rows(batches: Batches) -> Batches:
+    for batch in batches:
+        texts = utf8(batch.column(1))
+        words = [words_of(t) for t in texts]
+        columns = [
+            batch.column(0).cast(pa.int64()).fill_null(NO_ID),
+            batch.column(0),
+            pa.array([hashlib.md5(t).digest() for t in texts], pa.binary()),
+            pa.array(np.fromiter((xxhash.xxh64_intdigest(t, 42) for t in texts), np.uint64, len(texts)).view(np.int64)),
+            pa.array([len(w) for w in words], pa.int64()),
+            pa.array([hashlib.sha256(b" ".join(w)).digest() for w in words], pa.binary()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=[part.split()[0] for part in DOCS.split(", ")])
+
+
+def _batch_anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All anchors of the batch, each once, with one text (its hash) that has it; and the anchors that a text shares with
+    itself or with another one of the batch, with each such text."""
+    hashes, owners = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    again, again_of = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    for text in texts:
+        words = words_of(text)
+        if len(words) >= WINDOW:
+            key = np.array([xxhash.xxh64_intdigest(text, 42)], np.uint64).view(np.int64)
+            value, place = anchors(word_ids(words))
+            first = np.concatenate(([True], place[1:] != place[:-1]))
+            value, times = np.unique(value[first], return_counts=True)
+            hashes.append(value)
+            owners.append(np.repeat(key, len(value)))
+            again.append(value[times > 1])
+            again_of.append(np.repeat(key, len(again[-1])))
+    value, owner = np.concatenate(hashes), np.concatenate(owners)
+    order = np.lexsort((owner, value))
+    value, owner = value[order], owner[order]
+    new = np.ones(len(value), bool)
+    new[1:] = value[1:] != value[:-1]
+    starts = np.flatnonzero(new)
+    ends = np.append(starts[1:], len(value))[: len(starts)]
+    shared = np.repeat(owner[starts] != owner[ends - 1], ends - starts) if len(starts) else np.empty(0, bool)
+    again.append(value[shared])
+    again_of.append(owner[shared])
+    return value[starts], owner[starts], np.concatenate(again), np.concatenate(again_of)
+
+
+def _anchor_rows(blocks: int):
+    """Anchors for the block of their hash, and those known to be repeated for the block of their text."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            texts = utf8(batch.column(1))
-            keys = np.fromiter((xxhash.xxh64_intdigest(t, 42) for t in texts), np.uint64, len(texts)).view(np.int64)
-            counts, whole, hashes, owners, again = [], [], [np.empty(0, np.uint64)], [np.empty(0, np.int64)], []
-            for key, text in zip(keys, texts, strict=True):
-                words = words_of(text)
-                counts.append(len(words))
-                whole.append(hashlib.sha256(b" ".join(words)).digest())
-                own = np.empty(0, np.uint64)
-                if len(words) >= WINDOW:
-                    value, place = anchors(word_ids(words))
-                    first = np.concatenate(([True], place[1:] != place[:-1]))
-                    value, times = np.unique(value[first], return_counts=True)
-                    own = value[times > 1]
-                    hashes.append(value)
-                    owners.append(np.full(len(value), key))
-                again.append(own)
-            value, owner = np.concatenate(hashes), np.concatenate(owners)
-            order = np.lexsort((owner, value))
-            value, owner = value[order], owner[order]
-            starts = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1]))) if len(value) else np.empty(0, int)
-            ends = np.append(starts[1:], len(value))
-            shared = np.zeros(len(value), bool)
-            for a, b in zip(starts[ends - starts > 1], ends[ends - starts > 1]):
-                shared[a:b] = owner[a] != owner[b - 1]
-            known: dict[int, list] = {}
-            for k in np.flatnonzero(shared):
-                known.setdefault(int(owner[k]), []).append(value[k])
-            local = [np.union1d(own, np.array(known.get(int(key), []), np.uint64)) for own, key in zip(again, keys, strict=True)]
-            n, none = len(texts), [None] * len(texts)
-            order_keys = batch.column(0).cast(pa.int64()).fill_null(NO_ID)
-            md5 = [hashlib.md5(t).digest() for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(none, pa.int32()), order_keys, batch.column(0), pa.array(md5, pa.binary()), pa.array(keys),
-                    pa.array(counts, pa.int64()), pa.array(whole, pa.binary()), pa.array([x.tobytes() for x in local], pa.binary()),
-                    pa.array(none, pa.binary()),
-                ], names=names,
-            )
-            value, owner = value[starts], owner[starts]
-            block = (value >> np.uint64(32)) % np.uint64(blocks)
-            order = np.argsort(block, kind="stable")
-            value, owner, block = value[order], owner[order], block[order]
-            found, first = np.unique(block, return_index=True)
-            n, last = len(found), np.append(first[1:], len(block))
-            cut = list(zip(first, last))[: len(found)]
-            none = [None] * n
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(found.astype(np.int32)), pa.array(none, pa.int64()), pa.array(none, batch.column(0).type),
-                    pa.array(none, pa.binary()), pa.array(none, pa.int64()), pa.array(none, pa.int64()), pa.array(none, pa.binary()),
-                    pa.array([value[a:b].tobytes() for a, b in cut], pa.binary()),
-                    pa.array([owner[a:b].tobytes() for a, b in cut], pa.binary()),
-                ], names=names,
-            )
+            value, owner, again, again_of = _batch_anchors(utf8(batch.column(0)))
+            for known, hashes, owners, by in ((False, value, owner, value), (True, again, again_of, again_of)):
+                block, *parts = _packed(blocks, by, hashes, owners)
+                columns = [block, pa.array([known] * len(block), pa.bool_()), *parts]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "known", "hashes", "owners"])
 
-    names = [part.split()[0] for part in DOCS.split(", ")]
     return run
 
 
+def _packed(blocks: int, by: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:
+    """Block numbers, and for each column the bytes of its entries in that block; `by`: the hash that gives the block."""
+    block = (by.view(np.uint64) >> np.uint64(32)) % np.uint64(blocks)
+    order = np.argsort(block, kind="stable")
+    found, first = np.unique(block[order], return_index=True)
+    parts = [[x.tobytes() for x in np.split(column[order], first[1:])][: len(found)] for column in columns]
+    return [pa.array(found.astype(np.int32)), *[pa.array(part, pa.binary()) for part in parts]]
+
+
 def _joined(column: pa.ChunkedArray, kind) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind)
 
 
-def _repeated_anchors(table: pa.Table) -> pa.Table:
-    """text_hash, hashes: the anchors of a block that different texts have."""
-    value, owner = _joined(table.column("hashes"), np.uint64), _joined(table.column("owners"), np.int64)
-    order = np.lexsort((owner, value))
-    value, owner = value[order], owner[order]
-    group = np.cumsum(np.concatenate(([0], value[1:] != value[:-1])))
-    lowest, highest = (np.full(group[-1] + 1, v) for v in (NO_ID, -NO_ID - 1))
-    np.minimum.at(lowest, group, owner)
-    np.maximum.at(highest, group, owner)
-    shared = (lowest != highest)[group]
-    value, owner = value[shared], owner[shared]
+def _repeated_anchors(blocks: int):
+    """owner_block, owners, hashes: the anchors of a block that different texts have, and those that were known before,
+    packed for the blocks of their texts."""
+
+    def run(table: pa.Table) -> pa.Table:
+        parts = [table.filter(table.column("known")), table.filter(pc.invert(table.column("known")))]
+        (known, known_of), (value, owner) = [
+            (_joined(part.column("hashes"), np.uint64), _joined(part.column("owners"), np.int64)) for part in parts
+        ]
+        if len(value):
+            order = np.lexsort((owner, value))
+            value, owner = value[order], owner[order]
+            starts = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))
+            ends = np.append(starts[1:], len(value))
+            shared = np.repeat(owner[starts] != owner[ends - 1], ends - starts)
+            value, owner = value[shared], owner[shared]
+        value, owner = np.concatenate((value, known)), np.concatenate((owner, known_of))
+        return pa.table(_packed(blocks, owner, owner, value), names=["owner_block", "owners", "hashes"])
+
+    return run
+
+
+def _anchors_by_text(table: pa.Table) -> pa.Table:
+    """text_hash, hashes: one row for each text of a block."""
+    owner, value = _joined(table.column("owners"), np.int64), _joined(table.column("hashes"), np.uint64)
     order = np.argsort(owner, kind="stable")
-    value, owner = value[order], owner[order]
-    keys, first = np.unique(owner, return_index=True)
-    last = np.append(first[1:], len(owner))
-    blobs = [value[a:b].tobytes() for a, b in zip(first, last)][: len(keys)]
+    keys, first = np.unique(owner[order], return_index=True)
+    blobs = [part.tobytes() for part in np.split(value[order], first[1:])][: len(keys)]
     return pa.table([pa.array(keys), pa.array(blobs, pa.binary())], names=["text_hash", "hashes"])
 
 
@@ -170,19 +189,23 @@ def _earlier(entries: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndar
     return entries, new, np.flatnonzero(new)[np.cumsum(new) - 1]
 
 
-def _duplicates(entries: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, dict[int, np.ndarray]]:
-    """The first entry of each hash, and by document what was found of the others."""
+def _duplicates(entries: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first entry of each hash; and of the others the document, and what was found."""
     entries, new, first = _earlier(entries, docs)
     order_of = docs["order"][entries["doc"]]
     later = (order_of != order_of[first]) | (entries["start"] != entries["start"][first])
     rows, first = entries[later], first[later]
     found = np.empty(len(rows), FOUND)
     found["start"], found["reference"], found["reference_start"] = rows["start"], order_of[first], entries["start"][first]
-    order = np.argsort(rows["doc"], kind="stable")
-    docs_found, at = np.unique(rows["doc"][order], return_index=True)
-    parts = np.split(found[order], at[1:])
     # Entries that repeat the first one's document and start are as early as it is: they go on with it.
-    return entries[new | ~later], dict(zip(docs_found.tolist(), parts))
+    return entries[new | ~later], rows["doc"], found
+
+
+def _by_owner(owner: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """The distinct owners, and for each the bytes of what was found."""
+    order = np.argsort(owner, kind="stable")
+    which, first = np.unique(owner[order], return_index=True)
+    return which, [part.tobytes() for part in np.split(found[order], first[1:])][: len(which)]
 
 
 def _suspect_rows(blocks: int):
@@ -193,24 +216,24 @@ def _suspect_rows(blocks: int):
         for batch in batches:
             orders, keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2))
             docs = np.empty(len(texts), OWNER)
-            docs["order"] = orders
-            docs["key"] = np.frombuffer(b"".join(keys), "V16")
+            docs["order"], docs["text_hash"] = orders, keys
             parts = [np.empty(0, ENTRY)]
             for k, (text, repeated) in enumerate(zip(texts, batch.column(3).to_pylist(), strict=True)):
                 ids = word_ids(words_of(text))
                 value, _ = anchors(ids)
-                starts = np.flatnonzero(np.isin(value, np.frombuffer(b"".join(repeated), np.uint64)))
+                starts = np.flatnonzero(np.isin(value, np.frombuffer(repeated, np.uint64)))
                 part = np.empty(len(starts), ENTRY)
                 part["high"] = _sequences(ids, WINDOW, 0xD6E8FEB86659FD93)[starts]
-                part["low"] = _sequences(ids, WINDOW, 0xA0761D6478BD642F)[starts]
+                part["low"] = (_sequences(ids, WINDOW, 0xA0761D6478BD642F) >> np.uint64(32))[starts]
                 part["doc"], part["start"] = k, starts
                 parts.append(part)
-            entries, found = _duplicates(np.concatenate(parts), docs)
+            entries, doc, found = _duplicates(np.concatenate(parts), docs)
             none = [None] * len(texts)
-            blobs = [found[k].tobytes() if k in found else None for k in range(len(texts))]
+            of = dict(zip(*_by_owner(doc, found), strict=True))
+            blobs = [of.get(k) for k in range(len(texts))]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(none, pa.int32()), pa.array(orders, pa.int64()), pa.array(keys, pa.binary()), pa.array(texts, pa.binary()),
+                    pa.array(none, pa.int32()), pa.array(orders, pa.int64()), pa.array(keys, pa.int64()), pa.array(texts, pa.binary()),
                     pa.array(none, pa.binary()), pa.array(none, pa.binary()), pa.array(blobs, pa.binary()),
                 ], names=names,
             )
@@ -225,7 +248,7 @@ def _suspect_rows(blocks: int):
             none = [None] * len(which)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(which.astype(np.int32)), pa.array(none, pa.int64()), pa.array(none, pa.binary()), pa.array(none, pa.binary()),
+                    pa.array(which.astype(np.int32)), pa.array(none, pa.int64()), pa.array(none, pa.int64()), pa.array(none, pa.binary()),
                     pa.array(rows, pa.binary()), pa.array(own, pa.binary()), pa.array(none, pa.binary()),
                 ], names=names,
             )
@@ -233,19 +256,34 @@ def _suspect_rows(blocks: int):
     return run
 
 
-def _repeated_windows(table: pa.Table) -> pa.Table:
-    """text_key, found: the windows of a block that have occurred before, with their first occurrence."""
-    entries, docs, shift = [], [], 0
-    for rows, own in zip(table.column("entries").to_pylist(), table.column("docs").to_pylist(), strict=True):
-        part = np.frombuffer(rows, ENTRY).copy()
-        part["doc"] += shift
-        entries.append(part)
-        docs.append(np.frombuffer(own, OWNER))
-        shift += len(docs[-1])
-    owners = np.concatenate(docs)
-    _, found = _duplicates(np.concatenate(entries), owners)
-    keys = [owners["key"][k].tobytes() for k in found]
-    return pa.table([pa.array(keys, pa.binary()), pa.array([f.tobytes() for f in found.values()], pa.binary())], names=["text_key", "found"])
+def _repeated_windows(blocks: int):
+    """owner_block, owners, found: the windows of a block that have occurred before, with their first occurrence, packed
+    for the blocks of their documents."""
+
+    def run(table: pa.Table) -> pa.Table:
+        entries, docs, shift = [], [], 0
+        for rows, own in zip(table.column("entries").to_pylist(), table.column("docs").to_pylist(), strict=True):
+            part = np.frombuffer(rows, ENTRY).copy()
+            part["doc"] += shift
+            entries.append(part)
+            docs.append(np.frombuffer(own, OWNER))
+            shift += len(docs[-1])
+        owners = np.concatenate(docs)
+        _, doc, found = _duplicates(np.concatenate(entries), owners)
+        packed = _packed(blocks, owners["text_hash"][doc], owners[doc], found)
+        return pa.table(packed, names=["owner_block", "owners", "found"])
+
+    return run
+
+
+def _windows_by_document(table: pa.Table) -> pa.Table:
+    """doc_order, text_hash, found: one row for each document of a block."""
+    owner, found = _joined(table.column("owners"), OWNER), _joined(table.column("found"), FOUND)
+    distinct, number = np.unique(owner, return_inverse=True)
+    which, blobs = _by_owner(number, found)
+    of = distinct[which]
+    columns = [pa.array(of["order"]), pa.array(of["text_hash"]), pa.array(blobs, pa.binary())]
+    return pa.table(columns, names=["doc_order", "text_hash", "found"])
 
 
 def factors(found: np.ndarray) -> list[tuple[int, int, int, int]]:
@@ -263,20 +301,23 @@ def factors(found: np.ndarray) -> list[tuple[int, int, int, int]]:
 
 def _parse(batches: Batches) -> Batches:
     for batch in batches:
-        keys, removed, shas, spans = [], [], [], []
-        for key, text, found in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+        removed, shas, spans = [], [], []
+        for text, found in zip(utf8(batch.column(0)), batch.column(1).to_pylist(), strict=True):
             words = words_of(text)
             parts = factors(np.frombuffer(b"".join(found), FOUND))
             gone = np.zeros(len(words), bool)
             for start, end, _, _ in parts:
                 gone[start:end] = True
-            keys.append(key)
             removed.append(int(gone.sum()))
             shas.append(hashlib.sha256(b" ".join(w for w, g in zip(words, gone.tolist()) if not g)).digest())
             spans.append([dict(zip(("start", "end", "reference", "reference_start"), part)) for part in parts])
         kind = pa.list_(pa.struct([(n, pa.int64()) for n in ("start", "end", "reference", "reference_start")]))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.binary()), pa.array(removed, pa.int64()), pa.array(shas, pa.binary()), pa.array(spans, kind)],
+            [
+                pa.array([hashlib.md5(text).digest() for text in utf8(batch.column(0))], pa.binary()),
+                pa.array(removed, pa.int64()), pa.array(shas, pa.binary()),
+                pa.array(spans, kind),
+            ],
             names=["text_key", "n_removed", "kept_sha", "spans"],
         )
 
@@ -294,15 +335,13 @@ def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     chars = slim.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-chars // block_chars))
-    first = stored(slim.mapInArrow(_document_rows(blocks), DOCS.format(id=id_type)), "passage_documents")
-    rows = first.where("block IS NULL")
+    rows = stored(slim.mapInArrow(_document_rows, DOCS.format(id=id_type)), "passage_documents")
 
     # Sieve: texts with anchors that others have as well.
-    sent = first.where("block IS NOT NULL").select("block", "hashes", "owners").repartition(blocks, "block")
-    elsewhere = sent.groupBy("block").applyInArrow(_repeated_anchors, "text_hash long, hashes binary")
-    here = rows.where(F.length("hashes") > 0).groupBy("text_hash", "text_key").agg(F.first("hashes").alias("hashes"))
-    marked = elsewhere.unionByName(here.select("text_hash", "hashes"))
-    marked = marked.groupBy("text_hash").agg(F.collect_list("hashes").alias("hashes"))
+    sent = slim.select("text").mapInArrow(_anchor_rows(blocks), ANCHORS).repartition(blocks, "block")
+    marked = sent.groupBy("block").applyInArrow(_repeated_anchors(blocks), "owner_block int, owners binary, hashes binary")
+    marked = marked.repartition(blocks, "owner_block").groupBy("owner_block")
+    marked = marked.applyInArrow(_anchors_by_text, "text_hash long, hashes binary")
     least = stored(
         rows.groupBy("text_key", "text_hash").agg(F.min("doc_order").alias("first_order"), F.count("*").alias("copies")), "passage_texts"
     )
@@ -312,15 +351,18 @@ def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     keyed = slim.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_order"), "text", F.xxhash64("text").alias("text_hash"))
     suspects = keyed.join(marked, "text_hash").where((F.col("doc_order") == F.col("first_order")) & (F.unhex(F.md5("text")) == F.col("text_key")))
     second = stored(
-        suspects.select("doc_order", "text_key", "text", "hashes").mapInArrow(_suspect_rows(blocks), SUSPECTS), "passage_suspects"
+        suspects.select("doc_order", "text_hash", "text", "hashes").mapInArrow(_suspect_rows(blocks), SUSPECTS), "passage_suspects"
     )
     sent = second.where("block IS NOT NULL").select("block", "entries", "docs").repartition(blocks, "block")
-    found = sent.groupBy("block").applyInArrow(_repeated_windows, "text_key binary, found binary")
-    found = found.unionByName(second.where("found IS NOT NULL").select("text_key", "found"))
-    found = found.groupBy("text_key").agg(F.collect_list("found").alias("found"))
-    whole = second.where("block IS NULL").select("text_key", "text").join(found, "text_key").dropDuplicates(["text_key"])
-    result = "text_key binary, n_removed long, kept_sha binary, spans array<struct<start:long,end:long,reference:long,reference_start:long>>"
-    parsed = whole.select("text_key", "text", "found").mapInArrow(_parse, result)
+    found = sent.groupBy("block").applyInArrow(_repeated_windows(blocks), FOUND_OF).repartition(blocks, "owner_block")
+    found = found.groupBy("owner_block").applyInArrow(_windows_by_document, "doc_order long, text_hash long, found binary")
+    of = ["doc_order", "text_hash"]
+    found = found.unionByName(second.where("found IS NOT NULL").select(*of, "found"))
+    found = found.groupBy(*of).agg(F.collect_list("found").alias("found"))
+    whole = second.where("block IS NULL").select(*of, "text").join(found, of).dropDuplicates(of)
+    spans = "array<struct<start:long,end:long,reference:long,reference_start:long>>"
+    result = f"text_key binary, n_removed long, kept_sha binary, spans {spans}"
+    parsed = whole.select("text", "found").mapInArrow(_parse, result)
 
     special = least.where("copies > 1").select("text_key", "first_order").join(parsed, "text_key", "full_outer")
     special = stored(special, "passage_results")

@@ -172,17 +172,19 @@ def scheduled(
     rows = rows.withColumn(place, inside)
     left = F.struct(F.col(names["stream"]).alias("stream"), F.col(names["bucket"]).alias("bucket"))
     rows = rows.select(*[F.col(f"`{c}`") for c in docs.columns], F.struct(left.alias("of"), F.col(place).alias("inside")).alias(place))
-    right = offsets.select(F.struct(F.struct("stream", "bucket").alias("of"), "offset").alias("__offset"))
-    rows = rows.join(F.broadcast(right), F.col(place)["of"] == F.col("__offset")["of"])
-    nth = F.col("__offset")["offset"] + F.col(place)["inside"]
+    offset = free_name(rows, "offset")
+    right = offsets.select(F.struct(F.struct("stream", "bucket").alias("of"), "offset").alias(offset))
+    rows = rows.join(F.broadcast(right), F.col(place)["of"] == F.col(offset)["of"])
+    nth = F.col(offset)["offset"] + F.col(place)["inside"]
     rows = rows.select(
         *[F.col(f"`{c}`") for c in docs.columns],
         F.struct(
             F.col(place)["of"]["stream"].alias("stream"), F.floor(nth / block_docs).alias("block"), (nth % block_docs).alias("inside")
         ).alias(place),
     )
-    table = phases.select(F.struct(*phases.columns).alias("__phase"))
-    x, p = F.col(place), F.col("__phase")
+    phase = free_name(rows, "phase")
+    table = phases.select(F.struct(*phases.columns).alias(phase))
+    x, p = F.col(place), F.col(phase)
     rows = rows.join(F.broadcast(table), (x["stream"] == p["stream"]) & x["block"].between(p["first_block"], p["last_block"]))
     nth = x["block"] - p["first_block"]
     cycle, nth_of_cycle = F.floor(nth / p["share"]), (nth % p["share"]).cast("int")

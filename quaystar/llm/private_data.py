@@ -104,9 +104,10 @@ def _near(rows: DataFrame, spans: str, text: str, context: int) -> DataFrame:
     one = slim.select("text_key", "whole", "spans", F.explode("spans").alias("e"))
     value = F.substr("whole", F.col("e.start") + 1, F.col("e.end") - F.col("e.start"))
     left_from = F.greatest(F.col("e.start") - context, F.lit(0))
+    close = F.filter("spans", lambda s: (s["end"] > left_from) & (s["start"] < F.col("e.end") + context))
     one = one.select(
         "text_key",
-        "spans",
+        close.alias("spans"),
         F.md5(F.concat_ws(":", F.col("e.kind").cast("string"), F.lower(value))).alias("entity"),
         F.array(
             F.struct(
@@ -193,15 +194,16 @@ def find(docs: DataFrame, rule: Disclosure = Disclosure(), text: str = "text") -
     words = disclosing(rows, spans, text, rule)
     result = free_name(docs, "private")
     # Only documents with an entity can have disclosing words, so only they are shuffled.
-    plain = rows.where(F.size(spans) == 0).withColumn("__key", F.lit(None).cast("string"))
-    hit = rows.where(F.size(spans) > 0).withColumn("__key", F.md5(F.col(text)))
-    hit = hit.join(words.select(F.col("text_key").alias("__key"), F.col("found").alias("__found")), "__key", "left")
-    both = hit.unionByName(plain.withColumn("__found", F.lit(None).cast(words.schema["found"].dataType)))
+    key, found = free_name(rows, "text_key"), free_name(rows, "found")
+    plain = rows.where(F.size(spans) == 0).withColumn(key, F.lit(None).cast("string"))
+    hit = rows.where(F.size(spans) > 0).withColumn(key, F.md5(F.col(text)))
+    hit = hit.join(words.select(F.col("text_key").alias(key), F.col("found").alias(found)), key, "left")
+    both = hit.unionByName(plain.withColumn(found, F.lit(None).cast(words.schema["found"].dataType)))
     base = F.transform(
         spans, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.lit(0).alias("level"))
     )
     term = F.transform(
-        F.coalesce("__found", F.array().cast(words.schema["found"].dataType)),
+        F.coalesce(found, F.array().cast(words.schema["found"].dataType)),
         lambda s: F.struct(s["start"].alias("start"), F.lit(4).alias("kind"), s["end"].alias("end"), s["level"].alias("level")),
     )
     value = F.struct(base.alias("base"), F.array_sort(F.concat(base, term)).alias("all"))

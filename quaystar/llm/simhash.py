@@ -156,8 +156,8 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius
     slim, name = with_fingerprint(docs.select(doc_id, text), text)
     found = classes(slim.select(F.col(name).alias("fingerprint"), F.col(doc_id).alias("least_id")), "fingerprint", "least_id", radius)
     rows, name = with_fingerprint(docs, text)
-    root, place = free_name(rows, "class_root"), free_name(rows, "place")
-    joined = rows.join(found.select(F.col("fingerprint").alias("known"), F.col("class_root").alias(root)), F.col(name) == F.col("known"))
+    root, place, known = free_name(rows, "class_root"), free_name(rows, "place"), free_name(rows, "known")
+    joined = rows.join(found.select(F.col("fingerprint").alias(known), F.col("class_root").alias(root)), F.col(name) == F.col(known))
     # Spark keeps one row of a component for each task before it shuffles them.
     first = F.row_number().over(Window.partitionBy(root).orderBy(F.col(doc_id).asc_nulls_last(), F.col(text)))
     return joined.withColumn(place, first).where(F.col(place) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -33,13 +33,15 @@ def edge_rows():
         (11, prose(5, 8_000), "en", "src0"),
         (12, "one two three " * 40, "es", "src0"),
     ]
-    return [(*row, len(row[1] or ""), -k, f"q{k}") for k, row in enumerate(texts)]
+    return [(*row, len(row[1] or ""), -k, f"q{k}", k, k, k, k, k, k) for k, row in enumerate(texts)]
 
 
 @pytest.fixture(scope="session")
 def edge_docs(spark, edge_rows):
     return spark.createDataFrame(
-        edge_rows, "doc_id long, text string, lang string, source string, n_chars long, N_Words int, quality string"
+        edge_rows,
+        "doc_id long, text string, lang string, source string, n_chars long, N_Words int, quality string,"
+        " known int, found int, fingerprint int, Spans int, stream int, phase int",
     ).repartition(3)
 
 

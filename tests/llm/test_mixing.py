@@ -88,8 +88,8 @@ def test_order_in_a_stream_is_that_of_the_hash(spark):
 
 def test_whole_operator(edge_docs, edge_rows, no_docs):
     weights = {"src0": 5, "src1": 2}
-    found, mix = mixing.scheduled(edge_docs.withColumn("mix", F.lit(1)).withColumn("stream", F.lit(2)), weights, 1, 2)
-    assert mix == "_mix" and found.columns[:-1] == [*edge_docs.columns, "mix", "stream"]
+    found, mix = mixing.scheduled(edge_docs.withColumn("mix", F.lit(1)), weights, 1, 2)
+    assert mix == "_mix" and found.columns[:-1] == [*edge_docs.columns, "mix"]
     rows = found.collect()
     assert sorted(row["quality"] for row in rows) == sorted(row[6] for row in edge_rows)
     assert all(row[mix]["stream"] == (row.source if row.source in weights else mixing.REST) for row in rows)

@@ -17,6 +17,7 @@ from quaystar.operators.numbering import (
     unknown_rows,
 )
 from quaystar.operators.rates import ORDERS_PLN_VIEW, orders_pln, upsert_rates
+from quaystar.plans import validation
 from quaystar.schema import SOURCES, TABLES
 from quaystar.sources.tables import TableStore
 
@@ -65,6 +66,7 @@ STEPS = [
         always=True,
     ),
 ]
+QUARANTINE = "fact_orders_quarantine"
 STEP_OF = {step.table: step for step in STEPS}
 
 
@@ -147,8 +149,12 @@ class Warehouse:
             converted = orders_pln(self.table("fact_orders"), self.table("dim_exchange_rate"))
             converted.createOrReplaceTempView(ORDERS_PLN_VIEW)
 
-    def load(self, force: bool = False) -> dict[str, str]:
-        """Run all steps in order; a failing step stops the load. Tables with rows are skipped unless forced."""
+    def load(self, force: bool = False, log: TableStore | None = None) -> dict[str, str]:
+        """Run all steps in order; a failing step stops the load. Tables with rows are skipped unless forced.
+
+        Orders that the order fact leaves out for their delivery dates are stored under QUARANTINE. With a `log`, the
+        checks run at the end and are recorded there.
+        """
         done = {}
         for step in STEPS:
             if self.store.row_count(step.table) > 0 and not force and not step.always:
@@ -156,6 +162,11 @@ class Warehouse:
             else:
                 self.build(step.table)
                 done[step.table] = "built"
+        if done["fact_orders"] == "built":
+            inputs = [self.table(name) for name in STEP_OF["fact_orders"].inputs]
+            self.store.replace(QUARANTINE, facts.fact_orders_quarantine(*inputs))
+        if log is not None:
+            validation.audit(self.table, log)
         return done
 
 

@@ -64,7 +64,11 @@ def test_first_load(first_load):
 def test_warehouse_on_delivered_files(spark, first_load):
     store = first_load[0].store
     warehouse = Warehouse(spark, store, staged(store))
-    assert warehouse.load() == {step.table: "built" for step in STEPS}
+    log = TableStore(spark, f"{store.root}/log")
+    assert warehouse.load(log=log) == {step.table: "built" for step in STEPS}
+    assert store.exists("fact_orders_quarantine") and store.row_count("fact_orders_quarantine") == 0
+    assert [(row.etl_run_id, row.status) for row in log.read("etl_run_log").collect()] == [(1, "SUCCESS")]
+    assert log.read("etl_validation_result").count() == 6
     second = warehouse.load()
     assert second.pop("agg_monthly_sales") == "built" and set(second.values()) == {"skipped"}
 

@@ -29,6 +29,7 @@ from quaystar.llm.common import Batches, stored, utf8, words_of
 WINDOW = 20
 ANCHOR = 8
 BLOCK_CHARS = 8 << 20
+BATCH_ROWS = 2500
 NO_ID = (1 << 63) - 1  # documents without an id come last
 DOCS = "doc_order long, doc_id {id}, text_key binary, text_hash long, n_words long, whole_sha binary"
 ANCHORS = "block int, known boolean, hashes binary, owners binary"
@@ -65,6 +66,12 @@ def _sequences(ids: np.ndarray, length: int, base: int) -> np.ndarray:
     return _mix(out)
 
 
+def _small(batches: Batches) -> Batches:
+    for batch in batches:
+        for at in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(at, BATCH_ROWS)
+
+
 def word_ids(words: list[bytes]) -> np.ndarray:
     digest = xxhash.xxh64_intdigest
     return np.fromiter((digest(word) for word in words), np.uint64, len(words))
@@ -125,7 +132,7 @@ def _anchor_rows(blocks: int):
     """Anchors for the block of their hash, and those known to be repeated for the block of their text."""
 
     def run(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in _small(batches):
             value, owner, again, again_of = _batch_anchors(utf8(batch.column(0)))
             for known, hashes, owners, by in ((False, value, owner, value), (True, again, again_of, again_of)):
                 block, *parts = _packed(blocks, by, hashes, owners)
@@ -138,7 +145,7 @@ def _anchor_rows(blocks: int):
 def _packed(blocks: int, by: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:
     """Block numbers, and for each column the bytes of its entries in that block; `by`: the hash that gives the block."""
     block = (by.view(np.uint64) >> np.uint64(32)) % np.uint64(blocks)
-    order = np.argsort(block, kind="stable")
+    order = np.lexsort((by, block))  # entries of one owner stand together, which compresses well
     found, first = np.unique(block[order], return_index=True)
     parts = [[x.tobytes() for x in np.split(column[order], first[1:])][: len(found)] for column in columns]
     return [pa.array(found.astype(np.int32)), *[pa.array(part, pa.binary()) for part in parts]]
@@ -213,7 +220,7 @@ def _suspect_rows(blocks: int):
     names = [part.split()[0] for part in SUSPECTS.split(", ")]
 
     def run(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in _small(batches):
             orders, keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2))
             docs = np.empty(len(texts), OWNER)
             docs["order"], docs["text_hash"] = orders, keys

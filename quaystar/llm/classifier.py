@@ -154,8 +154,11 @@ def training_rows(measured: DataFrame, labels: DataFrame, label: str, how: Fit)
     A document with several labels has the more frequent one, and the smaller one of two that are as frequent.
     """
     votes = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.avg(label).alias("vote"))
-    known = measured.where(~F.col("held_out")).join(votes, "doc_id").dropDuplicates(["doc_id"])
-    rows = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(how.sample_rows).select("features", "vote").collect()
+    known = stored(measured.where(~F.col("held_out")).join(votes, "doc_id").dropDuplicates(["doc_id"]), "labelled_rows")
+    # The smallest hashes; those that are too large for that never leave their tasks.
+    share, hashed = min(1.0, 2 * how.sample_rows / max(known.count(), 1)), F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31))
+    small = known.where(hashed < int(share * (1 << 31)))
+    rows = small.orderBy(hashed, "doc_id").limit(how.sample_rows).select("features", "vote").collect()
     x = np.array([row.features for row in rows], float).reshape(len(rows), len(FEATURES))
     return x, np.array([float(row.vote > 0.5) for row in rows])
 

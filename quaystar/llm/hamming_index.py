@@ -27,7 +27,7 @@ from quaystar.llm.common import Batches, stored
 class Index:
     neighbours: int = 10
     query_step: int = 100  # rows whose id is divisible by this are queries
-    fit_rows: int = 10_000  # the rotations are learned from so many rows at most
+    fit_rows: int = 10_000  # the rotations are learned from a random sample of about so many rows, twice as many at most
     rotations: int = 4
     fit_rounds: int = 30
     radius: float = 0.45  # share of the code's bits
@@ -133,7 +133,9 @@ def nearest(rows: DataFrame, how: Index = Index(), vec_id: str = "vec_id", vecto
     if sizes is None:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     good = stored(good.where(F.size("vector") == sizes["size"]), "usable_vectors")
-    sample = good.orderBy(F.xxhash64("id"), "id").limit(how.fit_rows).select("vector").collect()
+    # About fit_rows rows reach the driver, whatever the number of partitions.
+    share = min(1.0, how.fit_rows / good.count())
+    sample = good.sample(share, seed=0).limit(2 * how.fit_rows).select("vector").collect() or good.limit(1).select("vector").collect()
     model = learn(np.array([row.vector for row in sample]), how)
     radius = int(how.radius * model.turns.shape[1])
 

@@ -151,6 +151,27 @@ def _packed(blocks: int, by: np.ndarray, *columns: np.ndarray) -> list[pa.Array]
     return [pa.array(found.astype(np.int32)), *[pa.array(part, pa.binary()) for part in parts]]
 
 
+def _entry_bytes(entries: np.ndarray) -> bytes:
+    """Entries by document and start, field by field: documents and steps between starts compress to next to nothing when
+    their bytes stand together, place by place."""
+    entries = entries[np.lexsort((entries["start"], entries["doc"]))]
+    steps = np.diff(entries["start"], prepend=np.uint32(0))  # wraps round where a document begins
+    places = [np.ascontiguousarray(field).view(np.uint8).reshape(-1, 4).T.tobytes() for field in (entries["doc"], steps)]
+    return b"".join([entries["high"].tobytes(), entries["low"].tobytes(), *places])
+
+
+def _entries_of(data: bytes) -> np.ndarray:
+    size = len(data) // ENTRY.itemsize
+    entries = np.empty(size, ENTRY)
+    entries["high"] = np.frombuffer(data, "<u8", size)
+    entries["low"] = np.frombuffer(data, "<u4", size, 8 * size)
+    doc, steps = (
+        np.ascontiguousarray(np.frombuffer(data, np.uint8, 4 * size, at * size).reshape(4, -1).T).view("<u4").ravel() for at in (12, 16)
+    )
+    entries["doc"], entries["start"] = doc, np.cumsum(steps, dtype=np.uint32)
+    return entries
+
+
 def _joined(column: pa.ChunkedArray, kind) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind)
 
@@ -250,7 +271,7 @@ def _suspect_rows(blocks: int):
             rows, own = [], []
             for part in np.split(entries[order], first[1:]) if len(which) else []:
                 used, part["doc"] = np.unique(part["doc"], return_inverse=True)
-                rows.append(part.tobytes())
+                rows.append(_entry_bytes(part))
                 own.append(docs[used].tobytes())
             none = [None] * len(which)
             yield pa.RecordBatch.from_arrays(
@@ -270,7 +291,7 @@ def _repeated_windows(blocks: int):
     def run(table: pa.Table) -> pa.Table:
         entries, docs, shift = [], [], 0
         for rows, own in zip(table.column("entries").to_pylist(), table.column("docs").to_pylist(), strict=True):
-            part = np.frombuffer(rows, ENTRY).copy()
+            part = _entries_of(rows)
             part["doc"] += shift
             entries.append(part)
             docs.append(np.frombuffer(own, OWNER))

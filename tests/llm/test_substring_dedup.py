@@ -74,3 +74,12 @@ def test_window_hash_depends_on_the_words_of_the_window_only():
         assert len(hashes) == len(twice) - length + 1
         assert (hashes[: 64 - length + 1] == hashes[64 : 128 - length + 1]).all()
         assert len(np.unique(hashes[:64])) == 64
+
+
+def test_entries_survive_their_packing():
+    pick = np.random.default_rng(3)
+    for size in (0, 1, 500):
+        entries = np.empty(size, passages.ENTRY)
+        for field, top in (("high", 1 << 63), ("low", 1 << 32), ("doc", 5), ("start", 1 << 32)):
+            entries[field] = pick.integers(0, top, size, np.uint64)
+        assert sorted(passages._entries_of(passages._entry_bytes(entries)).tolist()) == sorted(entries.tolist())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quaystar.llm import mixing, packing, private_data, quality_rules, simhash
-from quaystar.llm.common import stored, table
+from quaystar.llm.common import stored, table, written_place
 from quaystar.llm.queries import REST, WEIGHTS
 
 
@@ -30,8 +30,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document goes."""
-    return packing.pack(docs)
+    """Where each piece of each document goes: shards and bins follow the order in which the documents were written."""
+    return packing.pack(docs, order=written_place())
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("private_data", private), ("mixing", mix), ("packing", pack)]

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -35,6 +35,13 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def written_place() -> Column:
+    """Where a row of a written Parquet table stands: the number of its part file, that file's name, the row in it."""
+    file = F.col("_metadata.file_name")
+    part = F.regexp_extract(file, r"^part-(\d+)", 1).try_cast("long")
+    return F.struct(part.alias("part"), file.alias("file"), F.col("_metadata.row_index").alias("row"))
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The texts as UTF-8 bytes; null is empty."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

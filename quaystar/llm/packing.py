@@ -2,8 +2,9 @@
 
 A sequence (bin) holds at most one piece of each source and of each cluster of duplicates. Bins are ordered by what room
 they have left and carry a bitmap of sources and one of clusters; the search for a piece starts at the tightest bin that
-has the room and goes on to the next until one has no conflict. Pieces are dealt to shards of about the same size by a
-hash, and each shard is packed by itself, largest piece first: a shard is a fixed number of narrow rows at any volume.
+has the room and goes on to the next until one has no conflict. Pieces are dealt to shards of about the same size, by a
+hash or, where the documents have an order, as runs of it, and each shard is packed by itself, largest piece first: a
+shard is a fixed number of narrow rows at any volume.
 """
 
 from __future__ import annotations
@@ -15,11 +16,11 @@ from collections.abc import Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from quaystar.llm.common import stored, with_text_columns, words_of
+from quaystar.llm.common import stored, with_text_columns, words_of, written_place
 
 CAPACITY = 2048
 SHARD_PIECES = 4096
@@ -65,16 +66,40 @@ def with_length_and_cluster(docs: DataFrame, text: str) -> DataFrame:
     return with_text_columns(docs, text, added, measure)
 
 
-def pieces(docs: DataFrame, capacity: int, text: str = "text", doc_id: str = "doc_id", source: str = "source") -> DataFrame:
-    """doc_id, source, cluster, start, n_words: a document longer than a bin is cut into full bins and a rest."""
-    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text"))
+def pieces(
+    docs: DataFrame, capacity: int, text: str = "text", doc_id: str = "doc_id", source: str = "source", order: Column | None = None
+) -> DataFrame:
+    """doc_id, source, cluster, ordinal, start, n_words: a document longer than a bin is cut into full bins and a rest."""
+    ordinal = F.lit(None).cast("long") if order is None else order
+    slim = docs.select(
+        F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), ordinal.alias("ordinal"), F.col(text).alias("text")
+    )
     rows = with_length_and_cluster(slim, "text").drop("text")
     starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("n_words") - 1, F.lit(0)), F.lit(capacity).cast("long"))
-    return rows.select("doc_id", "source", "cluster", F.explode(starts).alias("start"), F.col("n_words").alias("whole")).select(
-        "doc_id", "source", "cluster", "start", F.least(F.col("whole") - F.col("start"), F.lit(capacity)).alias("n_words")
+    kept = ("doc_id", "source", "cluster", "ordinal")
+    return rows.select(*kept, F.explode(starts).alias("start"), F.col("n_words").alias("whole")).select(
+        *kept, "start", F.least(F.col("whole") - F.col("start"), F.lit(capacity)).alias("n_words")
     )
 
 
+def _numbered(cut: DataFrame) -> DataFrame:
+    """The pieces plus place, their number (from 0) in the order of ordinal and start.
+
+    They are written in that order; the number is then the row in the part file and what the files before it hold, and
+    only the counts of the files go through the driver.
+    """
+    ordered = stored(cut.orderBy("ordinal", "start"), "ordered_pieces")
+    at = ordered.withColumn("at", written_place())
+    files = sorted(tuple(row) for row in at.groupBy("at.part", "at.file").count().collect())
+    before, offsets = 0, []
+    for _, file, rows in files:
+        offsets.append((file, before))
+        before += rows
+    known = cut.sparkSession.createDataFrame(offsets, "file string, before long")
+    joined = at.join(F.broadcast(known), F.col("at.file") == F.col("file"))
+    return joined.withColumn("place", F.col("before") + F.col("at.row")).drop("at", "file", "before")
+
+
 def pack(
     docs: DataFrame,
     capacity: int = CAPACITY,
@@ -82,24 +107,39 @@ def pack(
     text: str = "text",
     doc_id: str = "doc_id",
     source: str = "source",
+    order: Column | None = None,
 ) -> DataFrame:
     """doc_id, source, start, n_words, bin, bin_start: where each piece of each document goes.
 
     All words of all documents are packed. A text without words, or null, is a piece of no words. A null source conflicts
     with none. Repeated rows are pieces of their own, of one cluster, and so never share a bin. An empty table gives an
     empty result. Pieces are written once before they are dealt out, so a lost executor finds the same shards again.
+
+    With `order`, a value of each row of `docs` that is never the same for two, shards are runs of pieces in that order,
+    and the names of bins sort by their first piece. Without it the pieces are dealt to shards by a hash.
     """
-    cut = stored(pieces(docs, capacity, text, doc_id, source), "pieces")
-    shards = max(1, -(-cut.count() // shard_pieces))
-    place = F.xxhash64("doc_id", "start", F.col("_metadata.file_name"), F.col("_metadata.row_index"))
-    dealt = cut.select("*", F.pmod(place, F.lit(shards)).alias("shard"), place.alias("place"))
+    cut = stored(pieces(docs, capacity, text, doc_id, source, order), "pieces")
+    total = cut.count()
+    shards = max(1, -(-total // shard_pieces))
+    if order is None:
+        place = F.xxhash64("doc_id", "start", F.col("_metadata.file_name"), F.col("_metadata.row_index"))
+        dealt = cut.select("*", F.pmod(place, F.lit(shards)).alias("shard"), place.alias("place"))
+    else:
+        dealt = _numbered(cut).withColumn("shard", F.expr(f"place * {shards} div {max(total, 1)}"))
+    dealt = dealt.drop("ordinal")
+    ordered, shard_digits, bin_digits = order is not None, len(str(shards - 1)), len(str(shard_pieces))
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("n_words", "descending"), ("place", "ascending")])
         bins, offsets = best_fit(*[table.column(c).to_pylist() for c in ("n_words", "source", "cluster")], capacity)
         shard = table.column("shard")[0].as_py()
+        names = [f"{shard}-{b}" for b in bins]
+        if ordered:
+            first = dict.fromkeys(b for _, b in sorted(zip(table.column("place").to_pylist(), bins, strict=True)))
+            number = {b: k for k, b in enumerate(first)}
+            names = [f"{shard:0{shard_digits}d}-{number[b]:0{bin_digits}d}" for b in bins]
         return pa.table(
-            [*[table.column(c) for c in ("doc_id", "source", "start", "n_words")], [f"{shard}-{b}" for b in bins], pa.array(offsets, pa.int64())],
+            [*[table.column(c) for c in ("doc_id", "source", "start", "n_words")], names, pa.array(offsets, pa.int64())],
             names=["doc_id", "source", "start", "n_words", "bin", "bin_start"],
         )
 

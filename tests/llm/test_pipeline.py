@@ -133,3 +133,35 @@ def test_the_rest_works_without_this_part(tmp_path):
     (tmp_path / "entry.py").write_text((REPO / "__spark_entry__.py").read_text())
     (tmp_path / "__spark_entry__.py").unlink()
     subprocess.run([sys.executable, "-c", textwrap.dedent(code)], cwd=tmp_path, check=True, timeout=120)
+
+
+def test_the_mix_decides_which_bins_a_source_reaches_first(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(9000).select(
+        F.col("id").alias("doc_id"),
+        F.concat_ws(" ", F.lit("a b"), F.col("id")).alias("text"),
+        F.when(F.col("id") % 2 == 0, "even").otherwise("odd").alias("source"),
+    )
+
+    def packed(weights):
+        monkeypatch.setattr(corpus_pipeline, "WEIGHTS", weights)
+        mixed = stored(corpus_pipeline.mix(spark, docs, FOLDER), "test-mix")
+        return corpus_pipeline.pack(spark, mixed, FOLDER).collect(), [row.doc_id for row in mixed.orderBy("_metadata.file_name", "_metadata.row_index").collect()]
+
+    early = {}
+    for weights in ({"even": 9, "odd": 1}, {"even": 1, "odd": 9}):
+        rows, mix = packed(weights)
+        place = {doc_id: k for k, doc_id in enumerate(mix)}
+        assert sorted(place) == sorted(row.doc_id for row in rows) == list(range(9000))
+        shards, first = defaultdict(list), {}
+        for row in rows:
+            shards[row.bin.split("-")[0]].append(place[row.doc_id])
+            first[row.bin] = min(first.get(row.bin, 9000), place[row.doc_id])
+        # Shards are runs of the mix, and the bins of all shards are named in its order.
+        assert len(shards) == 3
+        assert [x for _, places in sorted(shards.items()) for x in sorted(places)] == list(range(9000))
+        assert [first[name] for name in sorted(first)] == sorted(first.values())
+        start = [row.source for row in rows if row.bin < "1"]
+        early[weights["even"]] = start.count("even") / len(start)
+    assert early[9] > 0.8 and early[1] < 0.2

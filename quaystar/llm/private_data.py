@@ -1,16 +1,16 @@
 """Personal data and the words that give it away, with DataFrame functions only.
 
 Patterns find e-mail addresses, IP addresses, card and phone numbers. The corpus then tells how strongly a word near such
-an entity reveals it: with n documents, n_e of them with entity e, n_t with word t and n_te with t near e, the entity has
+an entity reveals it: with n documents, n_e of them with entity e, n_t with word t and n_te with both, the entity has
 log2(n / n_e) bits and the word discloses log2(n_te * n / (n_t * n_e)) of them. A word that discloses more than a share
-of the bits is generalised (to a mark) or, above a second share, removed.
+of the bits is generalised (to a mark) or, above a second share, removed, wherever it stands in the texts that hold e.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quaystar.llm.common import free_name, stored
@@ -25,14 +25,17 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
-TERM = r"(?<!\p{L})\p{L}{4,}+"
+TERM = r"(?<!\p{L})\p{L}++"
+# A character no text holds stands for each one of an entity; a word that touches it is part of the entity.
+HIDDEN = "\U0010ffff"
+FREE_TERM = r"(?<![\p{L}\x{10FFFF}])\p{L}++(?!\x{10FFFF})"
 MARKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
 NO_SPANS = "array<struct<start:int,kind:int,end:int>>"
 
 
 @dataclass(frozen=True)
 class Disclosure:
-    context: int = 64  # characters on either side of an entity in which a word counts as near
+    context: int = 64  # characters on either side of an entity; a word with a part in them counts as near
     texts: int = 3  # different texts that must show a word near an entity
     generalise: float = 0.8  # share of the entity's bits from which a word is generalised
     remove: float = 0.95  # and from which it is removed
@@ -96,90 +99,90 @@ def with_base_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, str
     return rows.withColumn(spans, F.array_sort(F.concat(*names))).drop(*names), spans
 
 
-def _near(rows: DataFrame, spans: str, text: str, context: int) -> DataFrame:
-    """text_key, copies, entity, term, start, end: the words near an entity of each different text."""
-    slim = rows.where(F.size(spans) > 0).select(
-        F.md5(F.col(text)).alias("text_key"), F.col(text).alias("whole"), F.col(spans).alias("spans")
-    )
-    one = slim.select("text_key", "whole", "spans", F.explode("spans").alias("e"))
-    value = F.substr("whole", F.col("e.start") + 1, F.col("e.end") - F.col("e.start"))
-    left_from = F.greatest(F.col("e.start") - context, F.lit(0))
-    close = F.filter("spans", lambda s: (s["end"] > left_from) & (s["start"] < F.col("e.end") + context))
-    one = one.select(
-        "text_key",
-        close.alias("spans"),
-        F.md5(F.concat_ws(":", F.col("e.kind").cast("string"), F.lower(value))).alias("entity"),
-        F.array(
-            F.struct(
-                left_from.alias("at"),
-                F.substr("whole", left_from + 1, F.col("e.start") - left_from).alias("part"),
-                (left_from > 0).alias("cut_before"),
-                F.lit(False).alias("cut_after"),
-            ),
-            F.struct(
-                F.col("e.end").alias("at"),
-                F.substr("whole", F.col("e.end") + 1, F.lit(context)).alias("part"),
-                F.lit(False).alias("cut_before"),
-                (F.col("e.end") + context < F.length("whole")).alias("cut_after"),
-            ),
-        ).alias("sides"),
-    )
-    side = one.select("text_key", "spans", "entity", F.explode("sides").alias("s"))
-    side = side.withColumn("found", matches(F.col("s.part"), TERM))
-    words = side.select("text_key", "spans", "entity", "s", F.explode("found").alias("w"))
-    # A word that the edge of the context may have cut, or that is part of an entity, does not count.
-    words = words.where(~(F.col("s.cut_before") & (F.col("w.start") == 0)))
-    words = words.where(~(F.col("s.cut_after") & (F.col("w.end") == F.length("s.part"))))
-    words = words.select(
-        "text_key",
-        "spans",
-        "entity",
-        F.lower("w.value").alias("term"),
-        (F.col("s.at") + F.col("w.start")).alias("start"),
-        (F.col("s.at") + F.col("w.end")).alias("end"),
+def _hidden(text: Column, spans: Column) -> Column:
+    """The text, as long as before, with its entities hidden."""
+    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+
+    def put(state: Column, s: Column) -> Column:
+        start, end = F.greatest(s["start"], state["at"]), F.greatest(s["end"], state["at"])
+        part = F.concat(F.substr(text, state["at"] + 1, start - state["at"]), F.repeat(F.lit(HIDDEN), end - start))
+        return F.struct(end.alias("at"), F.concat(state["parts"], F.array(part)).alias("parts"))
+
+    def finish(state: Column) -> Column:
+        return F.concat(F.array_join(state["parts"], ""), F.substr(text, state["at"] + 1))
+
+    return F.aggregate(spans, empty, put, finish)
+
+
+def _entities(kind: Column, value: Column) -> Column:
+    """What a value stands for."""
+    return F.array(F.md5(F.concat_ws(":", kind.cast("string"), F.lower(value))))
+
+
+def _words(texts: DataFrame) -> DataFrame:
+    """text_key, term, start, end: the words of the texts that are no part of an entity."""
+    hidden = texts.select("text_key", _hidden(F.col("whole"), F.col("spans")).alias("whole"))
+    split = hidden.select(
+        "text_key", F.regexp_extract_all("whole", F.lit(FREE_TERM), 0).alias("hits"), F.split("whole", FREE_TERM, -1).alias("gaps")
     )
-    free = words.where(~F.exists("spans", lambda s: (s["start"] < F.col("end")) & (F.col("start") < s["end"])))
-    return free.groupBy("text_key", "entity", "term", "start", "end").agg(F.count("*").alias("copies"))
+    pairs = F.transform("hits", lambda hit, k: F.struct(hit.alias("hit"), F.length(F.get("gaps", k)).alias("gap")))
+    each = split.select("text_key", F.posexplode(pairs).alias("k", "w")).select("text_key", "k", "w.hit", "w.gap")
+    size = F.length("hit")
+    end = F.sum(F.col("gap") + size).over(Window.partitionBy("text_key").orderBy("k"))
+    return each.select("text_key", F.lower("hit").alias("term"), (end - size).cast("int").alias("start"), end.cast("int").alias("end"))
 
 
 def disclosing(rows: DataFrame, spans: str, text: str, rule: Disclosure) -> DataFrame:
     """text_key, found: the spans of disclosing words of each different text; level 0 is generalised, 1 removed."""
-    near = stored(_near(rows, spans, text, rule.context), "near_entities")
-    # Entities: how many documents have each. All documents of one text have the same entities.
-    with_entity = rows.where(F.size(spans) > 0).select(F.col(text).alias("whole"), F.explode(spans).alias("e")).select(
-        F.md5("whole").alias("text_key"),
-        F.md5(
-            F.concat_ws(
-                ":",
-                F.col("e.kind").cast("string"),
-                F.lower(F.substr("whole", F.col("e.start") + 1, F.col("e.end") - F.col("e.start"))),
-            )
-        ).alias("entity"),
-        "e.start",
+    some = rows.where(F.size(spans) > 0).groupBy(F.md5(F.col(text)).alias("text_key"))
+    some = some.agg(F.count("*").alias("copies"), F.first(F.col(text)).alias("whole"), F.first(F.col(spans)).alias("spans"))
+    texts = stored(some, "entity_texts")
+
+    def place(s: Column) -> Column:
+        value = F.substr(F.col("whole"), s["start"] + 1, s["end"] - s["start"])
+        return F.struct(s["start"].alias("from"), s["end"].alias("to"), _entities(s["kind"], value).alias("entities"))
+
+    places = texts.select("text_key", "copies", F.explode(F.transform("spans", place)).alias("p"))
+    places = stored(places.select("text_key", "copies", "p.from", "p.to", F.explode("p.entities").alias("entity")), "entity_places")
+    words = stored(_words(texts), "entity_text_words")
+    holds = places.select("text_key", "copies", "entity").distinct()
+    # An entity of fewer texts than a word must be near it in is not looked at.
+    entities = holds.groupBy("entity").agg(F.sum("copies").alias("n_e"), F.count("*").alias("texts"))
+    entities = stored(entities.where(F.col("texts") >= rule.texts).drop("texts"), "entities")
+    # Words and entities meet by stretches of the text, so a text of many of both is no burden.
+    context = max(rule.context, 1)
+
+    def stretches(first: Column, last: Column) -> Column:
+        return F.explode(F.sequence(F.floor(first / context), F.floor(last / context))).alias("stretch")
+
+    around = places.join(entities, "entity", "left_semi").select(
+        "text_key", "entity", "from", "to", stretches(F.greatest(F.col("from") - context, F.lit(0)), F.col("to") + context)
     )
-    in_text = with_entity.groupBy("text_key", "entity", "start").count().groupBy("text_key", "entity").agg(F.max("count").alias("copies"))
-    entities = in_text.groupBy("entity").agg(F.sum("copies").alias("n_e"))
-    together = (
-        near.groupBy("entity", "term", "text_key")
-        .agg(F.max("copies").alias("copies"))
-        .groupBy("entity", "term")
-        .agg(F.sum("copies").alias("n_te"), F.count("*").alias("texts"))
-        .where(F.col("texts") >= rule.texts)
-    )
-    together = stored(together.join(entities, "entity"), "entity_words")
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(TERM), 0))
-    known = rows.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    close = words.select("*", stretches(F.col("start"), F.col("end") - 1)).join(around, ["text_key", "stretch"])
+    close = close.where((F.col("end") > F.col("from") - rule.context) & (F.col("start") < F.col("to") + rule.context))
+    together = close.select("text_key", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("texts"))
+    together = together.where(F.col("texts") >= rule.texts).drop("texts").join(entities, "entity")
+    terms = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(TERM), 0))
+    known = rows.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     n = F.lit(float(rows.select(F.lit(1)).count()))
     bits = F.log2(n / F.col("n_e"))
-    told = F.log2(F.col("n_te") * n / (F.col("n_t") * F.col("n_e")))
-    strong = (
-        together.join(known, "term")
-        .where((bits > 0) & (told >= rule.generalise * bits))
-        .select("entity", "term", F.when(told >= rule.remove * bits, 1).otherwise(0).alias("level"))
+
+    def told(n_te: Column) -> Column:
+        return F.log2(n_te * n / (F.col("n_t") * F.col("n_e")))
+
+    # Words that would not be strong enough if all documents that can have them with the entity had.
+    possible = (bits > 0) & (told(F.least("n_t", "n_e")) >= rule.generalise * bits)
+    together = stored(together.join(known, "term").where(possible), "entity_words")
+    found = stored(words.join(together, "term").join(holds, ["text_key", "entity"]), "entity_word_places")
+    counts = found.select("entity", "term", "n_e", "n_t", "text_key", "copies").distinct()
+    counts = counts.groupBy("entity", "term", "n_e", "n_t").agg(F.sum("copies").alias("n_te"))
+    share = told(F.col("n_te"))
+    strong = counts.where(share >= rule.generalise * bits).select(
+        "entity", "term", F.when(share >= rule.remove * bits, 1).otherwise(0).alias("level")
     )
-    found = near.join(strong, ["entity", "term"]).groupBy("text_key", "start", "end").agg(F.max("level").alias("level"))
+    spots = found.join(strong, ["entity", "term"]).groupBy("text_key", "start", "end").agg(F.max("level").alias("level"))
     return stored(
-        found.groupBy("text_key").agg(F.collect_list(F.struct("start", "end", "level")).alias("found")), "disclosing_words"
+        spots.groupBy("text_key").agg(F.collect_list(F.struct("start", "end", "level")).alias("found")), "disclosing_words"
     )
 
 

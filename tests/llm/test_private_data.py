@@ -90,6 +90,19 @@ def test_disclosing_words(spark):
     assert clean[0] == "0  common halfway [EMAIL] noteaword"
 
 
+def test_disclosing_words_go_wherever_they_stand_in_a_text_of_their_entity(spark):
+    """Far from the address, one with the address at the other end only, a word of two letters, and one that the edge
+    of the context cuts."""
+    gap, edge = "common " * 40, "jq@mail.example.org" + " " * 60 + "zyrandorel"
+    rows = [(k, f"{k} quillon bo {edge} {gap} bo quillon signed{'abcd'[k]}") for k in range(4)]
+    rows += [(4, f"quillon {gap} jq@mail.example.org")]
+    rows += [(k, f"common text{'xyzuvw'[k % 6]} signed") for k in range(5, 80)]
+    clean = {row.doc_id: row.text for row in private.sanitise(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert clean[0] == f"0   [EMAIL]{' ' * 60} {gap}   signeda"
+    assert clean[4] == f" {gap} [EMAIL]"
+    assert all(clean[k] == text for k, text in rows[5:])
+
+
 def test_generalised_or_removed_and_overlaps(spark):
     spans = [(0, 0, 3, 0), (2, 1, 5, 0), (6, 4, 7, 0), (8, 4, 9, 1)]
     row = spark.createDataFrame([("abcdef😀hij", spans)], "t string, s array<struct<start:int,kind:int,end:int,level:int>>")

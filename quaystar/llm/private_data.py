@@ -4,6 +4,7 @@ Patterns find e-mail addresses, IP addresses, card and phone numbers. The corpus
 an entity reveals it: with n documents, n_e of them with entity e, n_t with word t and n_te with both, the entity has
 log2(n / n_e) bits and the word discloses log2(n_te * n / (n_t * n_e)) of them. A word that discloses more than a share
 of the bits is generalised (to a mark) or, above a second share, removed, wherever it stands in the texts that hold e.
+An entity is a value, the group of values it belongs to (such as the addresses of a domain), or all values of its kind.
 """
 
 from __future__ import annotations
@@ -115,8 +116,19 @@ def _hidden(text: Column, spans: Column) -> Column:
 
 
 def _entities(kind: Column, value: Column) -> Column:
-    """What a value stands for."""
-    return F.array(F.md5(F.concat_ws(":", kind.cast("string"), F.lower(value))))
+    """What a value stands for: itself, its group (domain, network, issuer of a card, first digits of a number), its kind.
+
+    Most values are in one text only, where no word can be told from chance; groups and kinds have more of them.
+    """
+    low, digits = F.lower(value), F.regexp_replace(value, "[^0-9]", "")
+    group = (
+        F.when(kind == KINDS.index("email"), F.substring_index(low, "@", -1))
+        .when(kind == KINDS.index("ip"), F.substring_index(low, ".", 2))
+        .when(kind == KINDS.index("card"), F.substring(digits, 1, 6))
+        .otherwise(F.substring(digits, 1, 4))
+    )
+    levels = (("value", low), ("group", group), ("kind", F.lit("")))
+    return F.array(*[F.md5(F.concat_ws(":", kind.cast("string"), F.lit(level), name)) for level, name in levels])
 
 
 def _words(texts: DataFrame) -> DataFrame:
@@ -170,9 +182,12 @@ def disclosing(rows: DataFrame, spans: str, text: str, rule: Disclosure) -> Data
     def told(n_te: Column) -> Column:
         return F.log2(n_te * n / (F.col("n_t") * F.col("n_e")))
 
-    # Words that would not be strong enough if all documents that can have them with the entity had.
-    possible = (bits > 0) & (told(F.least("n_t", "n_e")) >= rule.generalise * bits)
-    together = stored(together.join(known, "term").where(possible), "entity_words")
+    # Words that would not be strong enough if all documents that can have them with the entity had: those that have the
+    # word and any entity.
+    free = F.array_distinct(F.transform(F.regexp_extract_all(_hidden(F.col("whole"), F.col("spans")), F.lit(FREE_TERM), 0), F.lower))
+    beside = texts.select("copies", F.explode(free).alias("term")).groupBy("term").agg(F.sum("copies").alias("most"))
+    possible = (bits > 0) & (told(F.least("most", "n_e")) >= rule.generalise * bits)
+    together = stored(together.join(beside, "term").join(known, "term").where(possible).drop("most"), "entity_words")
     found = stored(words.join(together, "term").join(holds, ["text_key", "entity"]), "entity_word_places")
     counts = found.select("entity", "term", "n_e", "n_t", "text_key", "copies").distinct()
     counts = counts.groupBy("entity", "term", "n_e", "n_t").agg(F.sum("copies").alias("n_te"))

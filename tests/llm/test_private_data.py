@@ -103,6 +103,16 @@ def test_disclosing_words_go_wherever_they_stand_in_a_text_of_their_entity(spark
     assert all(clean[k] == text for k, text in rows[5:])
 
 
+def test_words_that_disclose_a_group_of_entities(spark):
+    """Every address and number is in one text, so only their domain, and the kind, have texts enough."""
+    rows = [(k, f"{k} quillon common {'abcd'[k]}q@mail.example.org") for k in range(4)]
+    rows += [(4 + k, f"{k} common velmora +1 (788) 555-087{k}") for k in range(4)]
+    rows += [(k, f"common q@other{k}.example.org common") for k in range(8, 40)]
+    rows += [(k, f"common text{'xyzuvw'[k % 6]}") for k in range(40, 100)]
+    clean = {row.doc_id: row.text for row in private.sanitise(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert [clean[k] for k in (0, 4, 8)] == ["0  common [EMAIL]", "0 common  [PHONE]", "common [EMAIL] common"]
+
+
 def test_generalised_or_removed_and_overlaps(spark):
     spans = [(0, 0, 3, 0), (2, 1, 5, 0), (6, 4, 7, 0), (8, 4, 9, 1)]
     row = spark.createDataFrame([("abcdef😀hij", spans)], "t string, s array<struct<start:int,kind:int,end:int,level:int>>")

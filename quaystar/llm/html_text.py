@@ -2,7 +2,9 @@
 
 Each block-level DOM node has a density: its characters per tag, adjusted for the share of them that are links. The
 node whose children have the largest sum of densities leads to the main text: its article, if it is in one, and the
-nodes beside its path to the body whose density reaches the smallest one on that path. Menus, headers, footers, sidebars,
+nodes beside its path to the body whose density reaches the smallest one on that path. A page without an article may have
+its text in many parts, and a short one has little density: there all that is beside the path belongs to the main text,
+unless half of it or more is links. Menus, headers, footers, sidebars,
 notices, adverts, forms, comments, scripts and styles are no part of the tree.
 """
 
@@ -176,8 +178,8 @@ def parse(source: str) -> _Page:
     return page
 
 
-def main_node(page: _Page) -> set[int]:
-    """The nodes whose subtrees are the main text."""
+def main_nodes(page: _Page) -> tuple[set[int], set[int]]:
+    """The nodes whose subtrees are the main text, and those of which only the text outside their children is."""
     n = len(page.tags)
     chars, link_chars, links, tags, own = [0] * n, [0] * n, list(page.links), list(page.links), [0] * n
     for node, text, is_link in page.texts:
@@ -186,6 +188,7 @@ def main_node(page: _Page) -> set[int]:
         own[node] += size
         if is_link:
             link_chars[node] += size
+    own_link_chars = list(link_chars)
     for node in range(n - 1, 0, -1):
         parent = page.parents[node]
         chars[parent] += chars[node]
@@ -211,31 +214,35 @@ def main_node(page: _Page) -> set[int]:
     while page.parents[path[-1]] >= 0:
         path.append(page.parents[path[-1]])
     threshold = min(value[k] for k in path)
-    top = 0
-    for k, node in enumerate(path):
-        if page.tags[node] in ("article", "main"):
-            top = k
-            break
-    chosen = {path[top]}
+    in_article = [k for k, node in enumerate(path) if page.tags[node] in ("article", "main")]
+    top = in_article[0] if in_article else 0
+    chosen, alone = {path[top]}, set()
     for below, node in zip(path[top:], path[top + 1 :]):
-        chosen |= {k for k in children[node] if k != below and chars[k] and value[k] >= threshold and 2 * link_chars[k] < chars[k]}
-    return chosen
+        beside = {k for k in children[node] if k != below and chars[k] and 2 * link_chars[k] < chars[k]}
+        chosen |= {k for k in beside if not in_article or value[k] >= threshold}
+        if not in_article and 2 * own_link_chars[node] < own[node]:
+            alone.add(node)
+    return chosen, alone
 
 
 def main_text(source: str) -> str:
     page = parse(source)
     if not page.texts:
         return ""
+    chosen, alone = main_nodes(page)
+    kept = [False] * len(page.tags)
+    for node, parent in enumerate(page.parents):
+        kept[node] = node in chosen or (parent >= 0 and kept[parent])
     lines: list[str] = []
-    for node in sorted(main_node(page)):
-        block, parts = -1, []
-        at = page.first[node]
-        for owner, text, _ in page.texts[at : page.last[node]]:
-            if owner != block:
-                lines.append(" ".join("".join(parts).split()))
-                block, parts = owner, []
-            parts.append(text)
-        lines.append(" ".join("".join(parts).split()))
+    block, parts = -1, []
+    for owner, text, _ in page.texts:
+        if not kept[owner] and owner not in alone:
+            owner, text = -1, ""
+        if owner != block:
+            lines.append(" ".join("".join(parts).split()))
+            block, parts = owner, []
+        parts.append(text)
+    lines.append(" ".join("".join(parts).split()))
     return "\n".join(line for line in lines if line)
 
 

@@ -29,6 +29,20 @@ def test_main_text(source, expected):
     assert html_text.main_text(source) == "\n".join(expected)
 
 
+def _section(name: str, paragraphs: int, size: int) -> tuple[str, list[str]]:
+    texts = [f"{name}{k} " + "word " * (size // 5) for k in range(paragraphs)]
+    return f"<h2>Part {name}</h2>" + "".join(f"<p>{t}</p>" for t in texts), [f"Part {name}", *[t.strip() for t in texts]]
+
+
+@pytest.mark.parametrize("tag", ["section", "div"])
+def test_all_sections_of_a_page_without_article(tag):
+    parts = [_section("A", 6, 300), _section("B", 3, 250), _section("C", 2, 300), _section("D", 1, 10)]
+    inside = "".join(f"<{tag}>{source}</{tag}>" for source, _ in parts)
+    menu = "<ul><li><a href=/a>Part A</a><li><a href=/b>Part B</a></ul>"
+    page = f"<body><nav>Home</nav>{menu}<div><h1>The title of this page</h1>Between them.{inside}<p>Last.</p></div>{menu}<footer>End</footer></body>"
+    assert html_text.main_text(page).split("\n") == ["The title of this page", "Between them.", *[x for _, lines in parts for x in lines], "Last."]
+
+
 def test_deep_and_long_pages():
     deep = "<div>" * 5_000 + "text" + "</div>" * 5_000
     assert html_text.main_text(deep) == "text"

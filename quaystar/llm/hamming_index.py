@@ -117,12 +117,20 @@ def _unpacked(ids: bytes, vectors: bytes) -> tuple[np.ndarray, np.ndarray]:
     return names, np.frombuffer(vectors, np.float64).reshape(len(names), -1)
 
 
+def _others(ids: np.ndarray, query_id: int) -> int:
+    """How many different ids there are besides the query's."""
+    found = np.unique(ids)
+    return len(found) - int(query_id in found)
+
+
 def nearest(rows: DataFrame, how: Index = Index(), vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score (Euclidean distance): the nearest rows found for each query, nearest first.
 
     Vectors that are null, zero or hold null or non-finite components take no part, and neither do rows without an id
     (nothing could name them) or with another number of components than most rows have (of equally frequent numbers the
-    smaller one stands). Rows with the id of the query are not its candidates. Equal distances go by the smaller id.
+    smaller one stands). Rows with the id of the query are not its candidates. A query whose id is repeated stands once,
+    with the smallest of its vectors; a neighbour whose id is repeated stands once, with the nearest of them. Equal
+    distances go by the smaller id.
     Vectors are taken as doubles. With fewer candidates than neighbours wanted, all are returned. An empty table gives
     an empty result.
     """
@@ -140,7 +148,8 @@ def nearest(rows: DataFrame, how: Index = Index(), vec_id: str = "vec_id", vecto
     radius = int(how.radius * model.turns.shape[1])
 
     blocks = _packed(good, how.block_rows, "vector_blocks")
-    queries = _packed(good.where(F.col("id") % how.query_step == 0), how.query_rows, "query_blocks")
+    asked = good.where(F.col("id") % how.query_step == 0).groupBy("id").agg(F.min("vector").alias("vector"))
+    queries = _packed(asked, how.query_rows, "query_blocks")
     n_blocks, n_queries = blocks.count(), queries.count()
     sent = queries.select(
         F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"), F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block")
@@ -157,17 +166,19 @@ def nearest(rows: DataFrame, how: Index = Index(), vec_id: str = "vec_id", vecto
                 for query_id, query, code in zip(query_ids, queries, model.codes(queries), strict=True):
                     reach = radius
                     at = block.within(code, reach)
-                    while (ids[at] != query_id).sum() < how.neighbours and reach < 8 * len(code):
+                    while _others(ids[at], query_id) < how.neighbours and reach < 8 * len(code):
                         reach += max(len(code), 1)
                         at = block.within(code, reach)
                     at = at[ids[at] != query_id]
                     distance = np.sqrt(((vectors[at] - query) ** 2).sum(1))
-                    best = np.lexsort((ids[at], distance))[: how.neighbours]
+                    best = np.lexsort((ids[at], distance))
+                    best = best[np.sort(np.unique(ids[at][best], return_index=True)[1])[: how.neighbours]]
                     found.append((np.full(len(best), query_id), ids[at][best], distance[best]))
             if found:
                 columns = [np.concatenate(part) for part in zip(*found)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "vec_id", "score"])
 
     near = pairs.select("ids", "vectors", "query_ids", "queries").mapInArrow(search, result)
+    near = near.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return near.withColumn("rank", rank).where(F.col("rank") <= how.neighbours).select("query_id", "rank", "vec_id", "score")

@@ -63,3 +63,22 @@ def test_repeated_rows(spark):
     rows = spark.createDataFrame([(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [0.0, 1.0])], "vec_id long, embedding array<float>")
     near = hamming_index.nearest(rows).where(F.col("query_id") == 0).collect()
     assert all(row.vec_id != 0 for row in near)
+
+
+def test_repeated_queries_and_neighbours(spark):
+    """Each id is ranked once: a repeated query by its smallest vector, a repeated neighbour by its nearest."""
+    pick = np.random.default_rng(7)
+    good = [(k, pick.normal(size=4).tolist()) for k in range(40)]
+    lower = [-9.0, *good[0][1][1:]]
+    rows = good + good + good[:20] + [(0, lower), (5, [9.0] * 4)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for how in (Index(), Index(block_rows=16, query_rows=1)):
+        found = by_query(hamming_index.nearest(frame, how))
+        best = {}
+        for i, v in rows:
+            d = float(np.sqrt(((np.array(v) - np.array(lower)) ** 2).sum()))
+            best[i] = min(best.get(i, d), d)
+        expected = sorted((d, i) for i, d in best.items() if i != 0)[:10]
+        assert len({i for i, _ in found[0]}) == 10 and sorted(found[0], key=lambda x: x[1]) == found[0]
+        assert len({i for i, _ in found[0]} & {i for _, i in expected}) >= 9
+        assert all(d == best[i] for i, d in found[0])

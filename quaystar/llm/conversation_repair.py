@@ -17,18 +17,20 @@ import hashlib
 import json
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quaystar.llm.common import Batches, stored
 
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 1, 2, 5, 5  # what the edits cost
-BLANK_SPACE = r"[^\x20\x09-\x0D]"
+VISIBLE = r"[^\x20\x09-\x0D]"
+BLANKS = " \t\n\x0b\f\r"
 BLOCK_TURNS = 32  # turns of a block that are not deleted for sure
+KNOWN_SHAPES = 50_000  # alignments that a task remembers
 ROLES = {"s": "system", "u": "user", "a": "assistant"}
 STATES = ("", "s", "u", "a")  # the last role given out; "" at the beginning
 NEXT = {"": ("s", "u"), "s": ("u",), "u": ("a",), "a": ("u",)}
@@ -63,9 +65,9 @@ def marked(rows: DataFrame) -> DataFrame:
     )
     turns = turns.join(first, F.col("conv_id").eqNullSafe(F.col("in_conv")) & (F.col("said") == F.col("first_said")))
     earlier = ~F.col("turn").eqNullSafe(F.col("first.turn"))
-    last = F.substring(F.regexp_replace("text", r"[\x20\x09-\x0D]+$", ""), -1, 1)
+    last = F.substring(F.rtrim("text", F.lit(BLANKS)), -1, 1)
     fault = (
-        F.when(~F.col("text").rlike(BLANK_SPACE), "blank")
+        F.when(~F.col("text").rlike(VISIBLE), "blank")
         .when(earlier, "duplicate")
         .when(~last.isin(".", "!", "?"), "truncated")
         .otherwise("")
@@ -76,7 +78,6 @@ def marked(rows: DataFrame) -> DataFrame:
 # --- alignment of a block ---------------------------------------------------------------------------------------------
 
 
-@lru_cache(maxsize=4096)
 def target(entry: str, leave: str, length: int) -> str | None:
     """The only string of this length that leads from one state to the other; None if there is none."""
     out, state = "", entry
@@ -113,7 +114,7 @@ def align(turns: list[Turn], goal: str, limit: int) -> tuple[int, str] | None:
     """The least cost of editing the turns into the goal and its least audit; None above the limit.
 
     best[i][j]: the cost of the turns from i on against the goal from j on. Only cells on diagonals that an alignment
-    within the limit can touch are filled. Deletions that are certain follow their turn at once: D comes before I.
+    within the limit can touch are filled.
     """
     n, size = len(turns), len(goal)
     # Diagonals j - i whose way there and back to the end stays within the limit.
@@ -154,13 +155,13 @@ def align(turns: list[Turn], goal: str, limit: int) -> tuple[int, str] | None:
         turn = turns[i] if i < n else None
         more = TRUNCATED if turn and turn.truncated else 0
         if turn and below.get(j, far) + DELETE == left:  # in the order of the letters: D, I, K, R
-            audit.append("D" + "D" * turn.gone)
+            audit.append("D")
             i += 1
         elif j < size and goal[j] != "s" and best[i].get(j + 1, far) + INSERT == left:
             audit.append("I")
             j += 1
         else:
-            audit.append(("K" if turn.initial == goal[j] else "R") + "D" * turn.gone)
+            audit.append("K" if turn.initial == goal[j] else "R")
             i, j = i + 1, j + 1
     return best[0][0], "".join(audit)
 
@@ -223,14 +224,25 @@ class Block:
         else:
             self.lead += gone
 
-    def way(self, entry: str, leave: str) -> tuple[int, str] | None:
-        """Least cost and least audit from one state to the other."""
-        found = cheapest(self.turns, entry, leave)
+    def way(self, entry: str, leave: str, known: dict) -> tuple[int, str] | None:
+        """Least cost and least audit from one state to the other. known: alignments found before, by what they depend on."""
+        shape = entry, leave, *((turn.initial, turn.truncated) for turn in self.turns)
+        if shape not in known:
+            if len(known) >= KNOWN_SHAPES:
+                known.clear()
+            known[shape] = cheapest(self.turns, entry, leave)
+        if not known[shape]:
+            return None
+        cost, letters = known[shape]
+        # Certain deletions follow their turn at once, as D comes before I.
+        audit, left = ["D" * self.lead], iter(self.turns)
+        for letter in letters:
+            audit.append(letter if letter == "I" else letter + "D" * next(left).gone)
         sure = DELETE * (self.lead + sum(turn.gone for turn in self.turns))
-        return found and (found[0] + sure, "D" * self.lead + found[1])
+        return cost + sure, "".join(audit)
 
-    def ways(self) -> dict[tuple[str, str], tuple[int, str]]:
-        return {(entry, leave): way for entry in STATES for leave in STATES if (way := self.way(entry, leave))}
+    def ways(self, known: dict) -> dict[tuple[str, str], tuple[int, str]]:
+        return {(entry, leave): way for entry in STATES for leave in STATES if (way := self.way(entry, leave, known))}
 
     def packed(self) -> str:
         turns = [[turn.role, turn.truncated, turn.gone, text] for turn, text in zip(self.turns, self.texts, strict=True)]
@@ -361,9 +373,8 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 def _mapped(rows: DataFrame, schema: str, work) -> DataFrame:
     """work: from an iterator of tuples to an iterator of tuples, one call for each partition."""
     from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
 
-    kind = to_arrow_schema(_parse_datatype_string(schema))
+    kind = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Batches) -> Batches:
         yield from _batches(work(_records(batches)), kind)
@@ -393,13 +404,13 @@ def repaired(rows: DataFrame) -> DataFrame:
     def cut(records: Iterator[tuple]) -> Iterator[tuple]:
         from pyspark import TaskContext
 
-        part = TaskContext.get().partitionId()
+        part, known = TaskContext.get().partitionId(), {}
         for seq, (conv, block, whole) in enumerate(blocks_of(records)):
             if whole:
-                cost, audit = min(way for leave in ("", "a") if (way := block.way("", leave)))
+                cost, audit = min(way for leave in ("", "a") if (way := block.way("", leave, known)))
                 yield conv, part, seq, *_outcome(block, "", cost, audit), None, None
             else:
-                table = [[*pair, *way] for pair, way in block.ways().items()]
+                table = [[*pair, *way] for pair, way in block.ways(known).items()]
                 yield conv, part, seq, None, None, None, None, *[None] * 7, json.dumps([block.first, block.last, table]), block.packed()
 
     found = stored(_mapped(turns, f"{kind}, {REPAIRED}, ways string, packed string", cut), "turn_blocks")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaystar.llm import classifier, conversation_repair, hamming_index, html_text, mixing, packing, private_data, quality_rules, simhash, substring_dedup, warc
+from quaystar.llm import class_lm, classifier, conversation_repair, hamming_index, html_text, mixing, packing, private_data, quality_rules, simhash, substring_dedup, warc
 from quaystar.llm.common import table
 
 # Parts of the mix; the sources that are not named share one part.
@@ -64,6 +64,10 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.repeated_passages(table(spark, folder, "documents")).drop("spans")
 
 
+def op12_class_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return class_lm.scored(table(spark, folder, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_repair.repair_report(table(spark, folder, "conversations"))
 
@@ -79,5 +83,6 @@ QUERIES = {
     "op8_classifier": op8_classifier,
     "op9_hamming_index": op9_hamming_index,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_class_lm": op12_class_lm,
     "op13_conversation_repair": op13_conversation_repair,
 }

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaystar.llm import class_lm, classifier, conversation_repair, hamming_index, html_text, mixing, packing, private_data, quality_rules, simhash, substring_dedup, warc
+from quaystar.llm import class_lm, classifier, conversation_repair, hamming_index, html_text, mixing, packing, private_data, quality_rules, simhash, substring_dedup, token_alignment, warc
 from quaystar.llm.common import table
 
 # Parts of the mix; the sources that are not named share one part.
 WEIGHTS = {"src0": 24, **{f"src{k}": 6 if k % 5 == 0 else 4 for k in range(1, 20)}}
 REST = 1
+# Vocabulary files of public tokenizers.
+BPE_FILE = "/opt/tokenizers/byte_bpe_50k.json"
+PIECE_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
@@ -64,6 +67,10 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.repeated_passages(table(spark, folder, "documents")).drop("spans")
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.alignment_report(table(spark, folder, "documents"), BPE_FILE, PIECE_FILE)
+
+
 def op12_class_lm(spark: SparkSession, folder: str) -> DataFrame:
     return class_lm.scored(table(spark, folder, "documents"))
 
@@ -83,6 +90,7 @@ QUERIES = {
     "op8_classifier": op8_classifier,
     "op9_hamming_index": op9_hamming_index,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_token_alignment": op11_token_alignment,
     "op12_class_lm": op12_class_lm,
     "op13_conversation_repair": op13_conversation_repair,
 }

@@ -195,6 +195,7 @@ ORACLES: dict[str, str] = {
                customer_id, 'Regular', 1
         FROM st_customers WHERE customer_city = 'MACHINERY'""",
     "warehouse_load": f"SELECT table_name, row_count, {STEP}, 'built' AS action FROM ({ROW_COUNTS})",
+    "load_fails_half_way": f"SELECT table_name, row_count, true AS unchanged FROM ({ROW_COUNTS})",
     "skip_if_loaded": f"""
         SELECT table_name, row_count, {STEP},
                CASE WHEN table_name = 'agg_monthly_sales' THEN 'built' ELSE 'skipped' END AS action

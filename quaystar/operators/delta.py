@@ -31,6 +31,8 @@ def new_order_items(
     dim_seller: DataFrame,
     dim_date: DataFrame,
 ) -> DataFrame:
+    """Fact rows of lines without a stored fact; of the orders, only those of such lines meet the customers."""
     key = ["order_id", "order_item_id"]
     missing = order_items.join(stored_items.select(*key), key, "left_anti").select(*order_items.columns)
-    return facts.fact_order_items(missing, orders, dim_customer, dim_product, dim_seller, dim_date)
+    needed = orders.join(missing.select("order_id"), "order_id", "left_semi").select(*orders.columns)
+    return facts.fact_order_items(missing, needed, dim_customer, dim_product, dim_seller, dim_date)

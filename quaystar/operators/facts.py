@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from quaystar.functions.columns import MONEY, date_key, flag, ratio, text_length
 
+OUTSIDE = "outside_calendar"
+
 
 def _calendar(dim_date: DataFrame, key: str) -> DataFrame:
     # Broadcast is safe: one row per calendar day, fixed by the calendar's range.
@@ -114,24 +116,30 @@ def _with_calendar_marks(rows: DataFrame, dim_date: DataFrame) -> DataFrame:
     return rows
 
 
-def fact_orders(
+def marked_orders(
     orders: DataFrame, order_items: DataFrame, dim_customer: DataFrame, dim_order_status: DataFrame, dim_date: DataFrame
 ) -> DataFrame:
-    """One row per order; its delivery dates must be calendar days (see fact_orders_quarantine)."""
+    """One row per order, and OUTSIDE: whether one of its delivery dates is no calendar day."""
     rows = _order_rows(orders, order_items, dim_customer, dim_order_status, dim_date)
     marked = _with_calendar_marks(rows, dim_date)
-    keep = _in_calendar("estimated_delivery_date_key") & _in_calendar("actual_delivery_date_key")
-    return marked.where(keep).select(*rows.columns)
+    inside = _in_calendar("estimated_delivery_date_key") & _in_calendar("actual_delivery_date_key")
+    return marked.select(*rows.columns, (~inside).alias(OUTSIDE))
+
+
+def fact_orders(
+    orders: DataFrame, order_items: DataFrame, dim_customer: DataFrame, dim_order_status: DataFrame, dim_date: DataFrame
+) -> DataFrame:
+    """One row per order; its delivery dates must be calendar days (see fact_orders_quarantine)."""
+    marked = marked_orders(orders, order_items, dim_customer, dim_order_status, dim_date)
+    return marked.where(~F.col(OUTSIDE)).drop(OUTSIDE)
 
 
 def fact_orders_quarantine(
     orders: DataFrame, order_items: DataFrame, dim_customer: DataFrame, dim_order_status: DataFrame, dim_date: DataFrame
 ) -> DataFrame:
     """Orders whose delivery dates lie outside the calendar: set aside instead of failing the load."""
-    rows = _order_rows(orders, order_items, dim_customer, dim_order_status, dim_date)
-    marked = _with_calendar_marks(rows, dim_date)
-    keep = _in_calendar("estimated_delivery_date_key") & _in_calendar("actual_delivery_date_key")
-    return marked.where(~keep).select(*rows.columns)
+    marked = marked_orders(orders, order_items, dim_customer, dim_order_status, dim_date)
+    return marked.where(OUTSIDE).drop(OUTSIDE)
 
 
 def first_item(order_items: DataFrame) -> DataFrame:

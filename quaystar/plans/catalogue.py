@@ -18,7 +18,8 @@ from quaystar.functions.columns import date_key, flag, region_of, us_week
 from quaystar.operators import delta, facts, ingest, rates, scd2
 from quaystar.operators.numbering import assign_keys
 from quaystar.plans import history, reports, validation
-from quaystar.plans.warehouse import Warehouse
+from quaystar.plans.delta import INPUTS, load_delta
+from quaystar.plans.warehouse import SALES, STEPS, Warehouse
 from quaystar.schema import SOURCES, TABLES
 from quaystar.session import shared_folder, table_files
 from quaystar.sources.csv_files import scan_csv
@@ -349,6 +350,27 @@ def skip_if_loaded(spark: SparkSession, folder: str) -> DataFrame:
     return _table_states(wh, wh.load())
 
 
+def load_fails_half_way(spark: SparkSession, folder: str) -> DataFrame:
+    """A forced load over fewer customers dies at the reviews: rows of each table then, and whether it is as before."""
+    wh = warehouse(spark, folder)
+    before = {step.table: (wh.table(step.table), wh.store.parts(step.table))[1] for step in STEPS}
+
+    def lost() -> DataFrame:
+        raise OSError("order_reviews cannot be read")
+
+    fewer = {"customers": lambda: wh.table("customers").where(F.col("customer_city") != "MACHINERY"), "order_reviews": lost}
+    try:
+        Warehouse(spark, TableStore(spark, wh.root), {**wh.staging, **fewer}).load(force=True)
+    except OSError:
+        pass
+    else:
+        raise AssertionError("the load has not failed")
+    after = TableStore(spark, wh.root)
+    states = [(name, after.parts(name) == parts) for name, parts in before.items()]
+    states = spark.createDataFrame(states, "table_name string, unchanged boolean")
+    return validation.row_counts(after.read).join(F.broadcast(states), "table_name")
+
+
 # --- product history -----------------------------------------------------------------------------------------------
 
 
@@ -400,13 +422,15 @@ def delta_order_items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def delta_agg_refresh(spark: SparkSession, folder: str) -> DataFrame:
-    """The aggregate over the stored and the appended facts."""
-    table = warehouse(spark, folder).table
-    old = F.col("order_date_key") < DELTA_FROM
-    orders, items = delta_orders(spark, folder), delta_order_items(spark, folder)
-    orders = table("fact_orders").where(old).select(*orders.columns).unionByName(orders)
-    items = table("fact_order_items").where(old).select(*items.columns).unionByName(items)
-    return facts.monthly_sales(items, orders, table("dim_date"), table("dim_product"), table("fact_reviews"))
+    """The stored aggregate of the older facts after the delta, which computes the months it touches only."""
+    wh = warehouse(spark, folder)
+    kept = {step.table: (lambda name=step.table: wh.table(name)) for step in STEPS if step.table not in (*INPUTS, SALES)}
+    target = Warehouse(spark, wh.scratch_store(), {**wh.staging, **kept})
+    for name in INPUTS:
+        target.store.replace(name, wh.table(name).where(F.col("order_date_key") < DELTA_FROM))
+    target.build(SALES)
+    load_delta(target)
+    return target.table(SALES)
 
 
 def rate_payload_json(spark: SparkSession, folder: str) -> DataFrame:
@@ -563,6 +587,7 @@ QUERIES: dict[str, Query] = {
     "append_defaults": append_defaults,
     "skip_if_loaded": skip_if_loaded,
     "warehouse_load": warehouse_load,
+    "load_fails_half_way": load_fails_half_way,
     "merge_upsert": merge_upsert,
     "retire_current": retire_current,
     "surrogate_keys": surrogate_keys,

@@ -79,3 +79,20 @@ def test_stored_history_keeps_its_keys(spark, tmp_path):
     assert ("a", 4, "x_SCD_DEMO", 1) in found
     assert all(r.created_at and r.updated_at for r in stored.collect())
     assert load_history(warehouse).count() == stored.count()
+
+
+def test_ended_versions_are_not_written_again(spark, tmp_path):
+    warehouse = Warehouse(spark, TableStore(spark, str(tmp_path)), {})
+    warehouse.store.replace("dim_product", products(spark, ("a", "x"), ("b", "x"), ("c", "x")))
+    ended = []
+    for name, time in (("y", FIRST), ("z", SECOND), ("z", datetime(2024, 3, 1))):
+        stored = change_products(warehouse, products(spark, ("a", name)), time)
+        parts = [part for part in warehouse.store.parts("dim_product_scd2") if part.slice == "ended"]
+        assert parts[: len(ended)] == ended
+        ended = parts
+    assert [part.rows for part in ended] == [1, 1]
+    assert [(v[0], v[1], v[4]) for v in sorted(versions(stored), key=lambda v: (v[0], v[2]))] == [
+        ("a", "x", 0), ("a", "y", 0), ("a", "z", 1), ("b", "x", 1), ("c", "x", 1)
+    ]
+    keys = [r.product_scd_key for r in TableStore(spark, str(tmp_path)).read("dim_product_scd2").collect()]
+    assert sorted(keys) == [1, 2, 3, 4, 5]

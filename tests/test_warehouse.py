@@ -80,6 +80,55 @@ def test_delta_twice(spark, warehouse, rows, tmp_path):
     assert keys[0] == keys[1]
 
 
+def test_delta_leaves_other_months_alone(spark, warehouse, rows, tmp_path):
+    target = OrderWarehouse(spark, FOLDER, str(tmp_path))
+    for step in STEPS[:-1]:
+        old = F.col("order_date_key") < DELTA_FROM if step.table in ("fact_orders", "fact_order_items") else F.lit(True)
+        target.store.replace(step.table, warehouse.table(step.table).where(old))
+    target.build("agg_monthly_sales")
+    before = {part.slice: part for part in target.store.parts("agg_monthly_sales")}
+    assert target.refresh_sales() == []
+    load_delta(target)
+    after = {part.slice: part for part in target.store.parts("agg_monthly_sales")}
+    assert rows(target.table("agg_monthly_sales")) == rows(warehouse.table("agg_monthly_sales"))
+    assert min(set(after) - set(before)) == str(DELTA_FROM // 100)
+    assert all(after[month] == part for month, part in before.items())
+    # A late review renews the month of its order, however old.
+    order = target.table("fact_orders").join(target.table("fact_order_items"), "order_id", "left_semi").orderBy("order_id").first()
+    reviews = target.table("fact_reviews")
+    late = reviews.limit(1).withColumn("order_id", F.lit(order.order_id)).withColumn("review_score", F.lit(1))
+    target.store.append("fact_reviews", late)
+    month = str(order.order_date_key // 100)
+    assert target.refresh_sales() == [month]
+    renewed = {part.slice: part for part in target.store.parts("agg_monthly_sales")}
+    assert {name for name in after if renewed[name] != after[name]} == {month}
+    in_parts = rows(target.table("agg_monthly_sales"))
+    # A table that was replaced makes the whole aggregate new; the result is the same.
+    target.store.replace("fact_reviews", target.table("fact_reviews"))
+    assert target.refresh_sales() is None
+    assert rows(target.table("agg_monthly_sales")) == in_parts
+
+
+def test_failed_load_changes_nothing(spark, warehouse, tmp_path):
+    """The load dies in a task, at the last fact; no reader sees its dimensions."""
+    target = OrderWarehouse(spark, FOLDER, str(tmp_path))
+    names = ("dim_date", "dim_customer", "dim_order_status")
+    for name in names:
+        target.build(name)
+    before = {name: target.store.parts(name) for name in names}
+    payments = target.staging["order_payments"]()
+    broken = payments.withColumn("payment_value", F.raise_error(F.lit("no value")).cast("decimal(10,2)"))
+    target.staging["order_payments"] = lambda: broken
+    with pytest.raises(Exception, match="no value"):
+        target.load(force=True)
+    for seen in (target.store, TableStore(spark, str(tmp_path))):
+        assert {name: seen.parts(name) for name in names} == before
+        assert not any(seen.exists(step.table) for step in STEPS if step.table not in names)
+    target.staging["order_payments"] = lambda: payments
+    assert set(target.load().values()) == {"built", "skipped"}
+    assert target.store.row_count("fact_orders_quarantine") > 0
+
+
 def test_audit_runs(spark, warehouse, rows, tmp_path):
     log = TableStore(spark, str(tmp_path))
     assert validation.audit(warehouse.table, log) == 1

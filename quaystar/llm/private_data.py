@@ -9,6 +9,7 @@ An entity is a value, the group of values it belongs to (such as the addresses o
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,11 +19,12 @@ from quaystar.llm.common import free_name, stored
 
 KINDS = ("email", "ip", "card", "phone", "term")
 # The contract's patterns. A match starts where a run of its first characters starts, or where the match before it
-# ended; saying so, and keeping what repeats have taken, makes long runs take linear time and no stack.
+# ended; saying so, and keeping what repeats have taken, makes long runs take linear time and no stack. A run of fewer than
+# 14 digits is no card, wherever one starts to read it, so it is no match to begin with.
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-    "card": r"[0-9](?:[\x20-]?[0-9])++",
+    "card": r"[0-9](?=(?:[\x20-]?[0-9]){13})(?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
@@ -31,7 +33,7 @@ TERM = r"(?<!\p{L})\p{L}++"
 HIDDEN = "\U0010ffff"
 FREE_TERM = r"(?<![\p{L}\x{10FFFF}])\p{L}++(?!\x{10FFFF})"
 MARKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
-NO_SPANS = "array<struct<start:int,kind:int,end:int>>"
+CHUNK = 128  # items of an array that are gone through in one piece; any number gives the same results
 
 
 @dataclass(frozen=True)
@@ -42,21 +44,64 @@ class Disclosure:
     remove: float = 0.95  # and from which it is removed
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _chunks(items: Column) -> Column:
+    """Places 0, CHUNK, 2 * CHUNK, … of an array; none if it is empty."""
+    return F.when(F.size(items) > 0, F.sequence(F.lit(0), F.size(items) - 1, F.lit(CHUNK))).otherwise(F.array().cast("array<int>"))
+
+
+def _before(items: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """For each of the whole numbers: all numbers before it added up from 0 (`add` may be any associative operation).
+
+    Adding to an array copies it, so a long one is gone through in chunks: in each on its own, and over their totals.
+    """
+
+    def grown(done: Column, item: Column) -> Column:
+        return F.concat(done, F.array(add(F.element_at(done, -1), item)))
+
+    def put_together(items: Column) -> Column:
+        def chunk(at: Column) -> Column:
+            return F.slice(items, at + 1, CHUNK)
+
+        zero = F.array(F.lit(0))
+        totals = F.transform(_chunks(items), lambda at: F.aggregate(chunk(at), F.lit(0), add))
+        return _let(
+            F.aggregate(totals, zero, grown),
+            lambda starts: F.flatten(
+                F.transform(
+                    _chunks(items),
+                    lambda at, k: F.slice(F.aggregate(chunk(at), F.array(F.get(starts, k)), grown), F.lit(1), F.size(chunk(at))),
+                )
+            ),
+        )
+
+    return _let(items, put_together)
+
+
 def matches(text: Column, pattern: str) -> Column:
     """start, end (code points, end exclusive) and value of the leftmost matches that do not overlap, in order."""
     found, between = F.regexp_extract_all(text, F.lit(pattern), 0), F.split(text, pattern, -1)
-    place = "struct<start:int,end:int,value:string>"
-    empty = F.array().cast(f"array<{place}>")
+    pairs = F.zip_with(
+        F.slice(between, 1, F.size(found)),
+        found,
+        lambda gap, hit: F.struct(F.length(gap).alias("gap"), F.length(hit).alias("size"), hit.alias("value")),
+    )
 
-    def put(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.length(pair["gap"])
-        end = start + F.length(pair["hit"])
-        entry = F.struct(start.alias("start"), end.alias("end"), pair["hit"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(state["found"], F.array(entry)).alias("found"))
+    def placed(pairs: Column) -> Column:
+        ends = _before(F.transform(pairs, lambda p: p["gap"] + p["size"]), lambda n, more: n + more)
 
-    pairs = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda gap, hit: F.struct(gap.alias("gap"), hit.alias("hit")))
-    start = F.struct(F.lit(0).alias("at"), empty.alias("found"))
-    return F.when(text.rlike(pattern), F.aggregate(pairs, start, put)["found"]).otherwise(empty)
+        def place(p: Column, end: Column) -> Column:
+            start = end + p["gap"]
+            return F.struct(start.alias("start"), (start + p["size"]).alias("end"), p["value"].alias("value"))
+
+        return F.zip_with(pairs, ends, place)
+
+    empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    return F.when(text.rlike(pattern), _let(pairs, placed)).otherwise(empty)
 
 
 def _luhn(digits: Column) -> Column:
@@ -100,19 +145,73 @@ def with_base_spans(docs: DataFrame, text: str = "text") -> tuple[DataFrame, str
     return rows.withColumn(spans, F.array_sort(F.concat(*names))).drop(*names), spans
 
 
+def _merged(spans: Column) -> Column:
+    """Spans that overlap as one span, with the kind and level of the first one. `spans` are in order of their starts."""
+
+    def merge(spans: Column) -> Column:
+        def numbered(before: Column) -> Column:
+            # A span begins where no span before it reaches; what it reaches itself is known where the next one begins.
+            marked = F.transform(spans, lambda s, k: F.struct(s.alias("s"), F.get(before, k).alias("before")))
+            heads = F.filter(marked, lambda m: m["s"]["start"] >= m["before"])
+            end = F.array_max(F.transform(spans, lambda s: s["end"]))
+            return _let(
+                heads,
+                lambda heads: F.transform(
+                    heads, lambda h, k: h["s"].withField("end", F.coalesce(F.get(heads, k + 1)["before"], end))
+                ),
+            )
+
+        return _let(_before(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b)), numbered)
+
+    return _let(spans, merge)
+
+
+def _rewritten(text: Column, merged: Column, mark: Callable[[Column], Column]) -> Column:
+    """The text with mark(span) in place of each span. To find a place is to count from the start, so each chunk of spans
+    looks into its own stretch of the text."""
+
+    def rewrite(merged: Column) -> Column:
+        def pieces(at: Column) -> Column:
+            def of_chunk(chunk: Column) -> Column:
+                first = F.coalesce(F.get(merged, at - 1)["end"], F.lit(0))
+                stretch = F.substr(text, first + 1, F.element_at(chunk, -1)["end"] - first)
+
+                def piece(stretch: Column, s: Column, k: Column) -> Column:
+                    done = F.coalesce(F.get(chunk, k - 1)["end"], first)
+                    return F.concat(F.substr(stretch, done - first + 1, s["start"] - done), mark(s))
+
+                return _let(stretch, lambda part: F.array_join(F.transform(chunk, lambda s, k: piece(part, s, k)), ""))
+
+            return _let(F.slice(merged, at + 1, CHUNK), of_chunk)
+
+        tail = F.substr(text, F.coalesce(F.try_element_at(merged, F.lit(-1))["end"], F.lit(0)) + 1)
+        return F.concat(F.array_join(F.transform(_chunks(merged), pieces), ""), tail)
+
+    return _let(merged, rewrite)
+
+
 def _hidden(text: Column, spans: Column) -> Column:
     """The text, as long as before, with its entities hidden."""
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+    return _rewritten(text, _merged(spans), lambda s: F.repeat(F.lit(HIDDEN), s["end"] - s["start"]))
+
 
-    def put(state: Column, s: Column) -> Column:
-        start, end = F.greatest(s["start"], state["at"]), F.greatest(s["end"], state["at"])
-        part = F.concat(F.substr(text, state["at"] + 1, start - state["at"]), F.repeat(F.lit(HIDDEN), end - start))
-        return F.struct(end.alias("at"), F.concat(state["parts"], F.array(part)).alias("parts"))
+def _values(text: Column, spans: Column, value: Callable[[Column, Column], Column]) -> Column:
+    """value(span, its text) of each span, in order; `spans` are in order of their starts."""
 
-    def finish(state: Column) -> Column:
-        return F.concat(F.array_join(state["parts"], ""), F.substr(text, state["at"] + 1))
+    def of_all(spans: Column) -> Column:
+        def of_chunk(chunk: Column) -> Column:
+            first, last = F.get(chunk, F.lit(0))["start"], F.array_max(F.transform(chunk, lambda s: s["end"]))
+            stretch = F.substr(text, first + 1, last - first)
+            return _let(
+                stretch,
+                lambda part: F.transform(
+                    chunk, lambda s: value(s, F.substr(part, s["start"] - first + 1, s["end"] - s["start"]))
+                ),
+            )
 
-    return F.aggregate(spans, empty, put, finish)
+        return F.flatten(F.transform(_chunks(spans), lambda at: _let(F.slice(spans, at + 1, CHUNK), of_chunk)))
+
+    return _let(spans, of_all)
 
 
 def _entities(kind: Column, value: Column) -> Column:
@@ -150,11 +249,10 @@ def disclosing(rows: DataFrame, spans: str, text: str, rule: Disclosure) -> Data
     some = some.agg(F.count("*").alias("copies"), F.first(F.col(text)).alias("whole"), F.first(F.col(spans)).alias("spans"))
     texts = stored(some, "entity_texts")
 
-    def place(s: Column) -> Column:
-        value = F.substr(F.col("whole"), s["start"] + 1, s["end"] - s["start"])
+    def place(s: Column, value: Column) -> Column:
         return F.struct(s["start"].alias("from"), s["end"].alias("to"), _entities(s["kind"], value).alias("entities"))
 
-    places = texts.select("text_key", "copies", F.explode(F.transform("spans", place)).alias("p"))
+    places = texts.select("text_key", "copies", F.explode(_values(F.col("whole"), F.col("spans"), place)).alias("p"))
     places = stored(places.select("text_key", "copies", "p.from", "p.to", F.explode("p.entities").alias("entity")), "entity_places")
     words = stored(_words(texts), "entity_text_words")
     holds = places.select("text_key", "copies", "entity").distinct()
@@ -246,34 +344,22 @@ def sanitised(text: Column, spans: Column) -> Column:
     """The text with a mark in place of each span, or nothing where a word is removed. Spans that overlap are one span
     of the first one's kind."""
 
-    def merge(done: Column, s: Column) -> Column:
-        last = F.element_at(done, -1)
-        grown = F.struct(
-            last["start"].alias("start"), last["kind"].alias("kind"), F.greatest(last["end"], s["end"]).alias("end"), last["level"].alias("level")
-        )
-        joins = (F.size(done) > 0) & (s["start"] < F.try_element_at(done, F.lit(-1))["end"])
-        return F.when(joins, F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(grown))).otherwise(
-            F.concat(done, F.array(s))
-        )
-
-    merged = F.aggregate(spans, F.slice(spans, 1, 0), merge)
     marks = F.array(*[F.lit(MARKS[kind]) for kind in KINDS])
 
-    def piece(s: Column, k: Column) -> Column:
-        before = F.coalesce(F.get(merged, k - 1)["end"], F.lit(0))
-        mark = F.when((s["kind"] == 4) & (s["level"] == 1), "").otherwise(F.get(marks, s["kind"]))
-        return F.concat(F.substr(text, before + 1, s["start"] - before), mark)
+    def mark(s: Column) -> Column:
+        return F.when((s["kind"] == KINDS.index("term")) & (s["level"] == 1), "").otherwise(F.get(marks, s["kind"]))
 
-    tail = F.substr(text, F.element_at(merged, -1)["end"] + 1)
-    return F.when(F.size(spans) == 0, text).otherwise(F.concat(F.array_join(F.transform(merged, piece), ""), tail))
+    return F.when(F.size(spans) == 0, text).otherwise(_rewritten(text, _merged(spans), mark))
 
 
 def sanitise(docs: DataFrame, rule: Disclosure = Disclosure(), text: str = "text") -> DataFrame:
     """`docs` with sanitised texts; n_chars, where there is one, is counted anew. Null texts stay null."""
     rows, found = find(docs, rule, text)
-    clean = sanitised(F.col(text), F.col(found)["all"])
+    # In a column of its own first: next to an output column named like the text, the text would mean that one.
+    clean = free_name(rows, "clean")
+    rows = rows.withColumn(clean, sanitised(F.col(text), F.col(found)["all"]))
     columns = [
-        clean.alias(c) if c == text else F.length(clean).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`")
+        F.col(clean).alias(c) if c == text else F.length(clean).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`")
         for c in docs.columns
     ]
     return rows.select(*columns)

@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -58,6 +60,59 @@ def test_base_spans(spark):
         assert got[k] == base(text), text[:60]
 
 
+def test_texts_of_very_many_numbers_and_addresses(spark):
+    """Time grows with the text, not with its square."""
+    numbers = "".join(f"abcd {k} " for k in range(100, 200_100))
+    cards = "".join(f"é 4857 0146 5152 {k:04} x" for k in range(9_000))
+    addresses = "".join(f"word {k}@x{k % 7}.org, " for k in range(20_000))
+    texts = {"numbers": numbers, "cards": cards, "addresses": addresses}
+    for name, text in texts.items():
+        rows = spark.createDataFrame([(text,)], "text string")
+        start = time.perf_counter()
+        found, spans = private.with_base_spans(rows)
+        clean = private.sanitised(F.col("text"), F.transform(spans, lambda s: s.withField("level", F.lit(0))))
+        got = found.select(spans, clean.alias("clean"), private._hidden(F.col("text"), F.col(spans)).alias("hidden")).first()
+        assert time.perf_counter() - start < 20, name
+        expected = base(text)
+        assert [tuple(s) for s in got[0]] == expected, name
+        assert got.clean == replaced(text, expected, lambda kind, size: private.MARKS[private.KINDS[kind]])
+        assert got.hidden == replaced(text, expected, lambda kind, size: private.HIDDEN * size)
+
+
+def replaced(text, spans, mark):
+    """Spans by start; those that overlap are one of the first one's kind."""
+    groups = []
+    for start, kind, end in spans:
+        if groups and start < groups[-1][2]:
+            groups[-1][2] = max(groups[-1][2], end)
+        else:
+            groups.append([start, kind, end])
+    done, at = [], 0
+    for start, kind, end in groups:
+        done += [text[at:start], mark(kind, end - start)]
+        at = end
+    return "".join(done) + text[at:]
+
+
+def test_overlapping_spans_over_chunks(spark):
+    """Random spans, more than a chunk of them, against spans merged one by one; and the text of each."""
+    chosen = random.Random(5)
+    rows = []
+    for size in (0, 1, 127, 128, 129, 700):
+        text = "".join(chosen.choice("aé😀b ") for _ in range(3000))
+        starts = sorted(chosen.randrange(2900) for _ in range(size))
+        rows.append((size, text, sorted((s, chosen.randrange(4), s + chosen.randrange(1, 9 if size < 700 else 3)) for s in starts)))
+    frame = spark.createDataFrame(rows, "n int, t string, s array<struct<start:int,kind:int,end:int>>")
+    text, spans = F.col("t"), F.transform("s", lambda s: s.withField("level", F.lit(0)))
+    values = private._values(text, F.col("s"), lambda s, value: F.concat(s["kind"].cast("string"), value))
+    found = frame.select("n", private.sanitised(text, spans).alias("clean"), private._hidden(text, F.col("s")).alias("hidden"), values.alias("v"))
+    got = {row.n: row for row in found.collect()}
+    for size, text, spans in rows:
+        assert got[size].clean == replaced(text, spans, lambda kind, size: private.MARKS[private.KINDS[kind]])
+        assert got[size].hidden == replaced(text, spans, lambda kind, size: private.HIDDEN * size)
+        assert got[size].v == [f"{kind}{text[start:end]}" for start, kind, end in spans]
+
+
 def test_whole_operator(edge_docs, edge_rows, no_docs):
     found, name = private.find(edge_docs)
     rows = {row["quality"]: row[name] for row in found.collect()}

@@ -148,6 +148,11 @@ ORACLES: dict[str, str] = {
         SELECT * FROM lineitem
         QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity,
             l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) = 1""",
+    "pk_first_in_file": """
+        SELECT CAST(l_orderkey AS VARCHAR) AS order_id, 1 AS payment_sequential, CAST(l_linenumber AS INTEGER) AS payment_installments,
+               CAST(l_extendedprice AS DECIMAL(10,2)) AS payment_value
+        FROM lineitem
+        QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_extendedprice DESC) = 1""",
     "fk_reject": """
         SELECT order_id, customer_id, order_status FROM st_orders o
         WHERE NOT EXISTS (SELECT 1 FROM st_customers c

@@ -11,13 +11,15 @@ from quaystar.schema import Source
 
 # Texts that stand for NULL.
 NULL_TOKENS = ["", "nan"]
+# Where a scanned row stands: file, block of the file, row or line in it. Rows that have it keep it until first_per_key.
+PLACE = "_place"
 
 
 def null_tokens(rows: DataFrame) -> DataFrame:
     """Null tokens become NULL; other values lose surrounding double quotes."""
     return rows.select(
         *[
-            F.when(~F.col(name).isin(NULL_TOKENS), F.btrim(F.col(name), F.lit('"'))).alias(name)
+            F.col(name) if name == PLACE else F.when(~F.col(name).isin(NULL_TOKENS), F.btrim(F.col(name), F.lit('"'))).alias(name)
             for name in rows.columns
         ]
     )
@@ -42,7 +44,8 @@ def typed(rows: DataFrame, source: Source) -> DataFrame:
             refused = refused | (F.length(raw) > column.max_length)
         values.append(value.alias(column.name))
         errors.append(F.when(refused, F.lit(column.name)))
-    return rows.select(*values, F.concat_ws(",", *errors).alias("_errors"))
+    place = [PLACE] if PLACE in rows.columns else []
+    return rows.select(*values, *place, F.concat_ws(",", *errors).alias("_errors"))
 
 
 def accepted(checked: DataFrame) -> DataFrame:
@@ -54,13 +57,13 @@ def rejected(checked: DataFrame) -> DataFrame:
 
 
 def first_per_key(rows: DataFrame, key: Sequence[str]) -> DataFrame:
-    """One row per key: the first in the order of all other columns, as a parallel scan has no file order.
+    """One row per key: the first by its place in the files, which goes; without one, in the order of all other columns.
 
     Spark keeps one row per key and task before the shuffle, so a key that holds a large share of the rows is no burden.
     """
-    others = [name for name in rows.columns if name not in key]
+    others = [PLACE] if PLACE in rows.columns else [name for name in rows.columns if name not in key]
     position = F.row_number().over(Window.partitionBy(*key).orderBy(*others))
-    return rows.withColumn("_position", position).where(F.col("_position") == 1).drop("_position")
+    return rows.withColumn("_position", position).where(F.col("_position") == 1).drop("_position", PLACE)
 
 
 def refuse_orphans(checked: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:

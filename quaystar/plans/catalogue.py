@@ -156,6 +156,23 @@ def pk_dedup_first(spark: SparkSession, folder: str) -> DataFrame:
     return ingest.first_per_key(warehouse(spark, folder).source.raw("lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+def pk_first_in_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines delivered as payments with one number per order, the last line first: the load keeps the first in the files,
+    which is no smallest one."""
+    wh, source = warehouse(spark, folder), SOURCES["order_payments"]
+    lines = wh.source.raw("lineitem").orderBy("l_orderkey", F.desc("l_linenumber"), F.desc("l_extendedprice"))
+    text = lines.select(
+        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.lit("1").alias("payment_sequential"),
+        F.lit("boleto").alias("payment_type"),
+        F.col("l_linenumber").cast("string").alias("payment_installments"),
+        F.col("l_extendedprice").cast("decimal(10,2)").cast("string").alias("payment_value"),
+    )
+    scanned = scan_csv(spark, wh.csv_export("order_payments", text), source, placed=True)
+    kept = ingest.first_per_key(ingest.accepted(ingest.typed(scanned, source)), source.key)
+    return kept.select("order_id", "payment_sequential", "payment_installments", "payment_value")
+
+
 def fk_reject(spark: SparkSession, folder: str) -> DataFrame:
     """Orders whose customer was not delivered: here the customers of one market segment."""
     source = warehouse(spark, folder).source
@@ -576,6 +593,7 @@ QUERIES: dict[str, Query] = {
     "null_tokens": null_tokens,
     "typed_load_rejects": typed_load_rejects,
     "pk_dedup_first": pk_dedup_first,
+    "pk_first_in_file": pk_first_in_file,
     "fk_reject": fk_reject,
     "staging_chain": staging_chain,
     "load_summary": load_summary,

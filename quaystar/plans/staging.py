@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaystar.operators.ingest import (
+    PLACE,
     accepted,
     bootstrap_manifest,
     first_per_key,
@@ -57,7 +58,7 @@ class StagingLoad:
     def load_table(self, source: Source) -> Loaded:
         """Load one table. Rows that cannot be stored go to <table>__rejects; only a clean load enters the manifest."""
         table = source.table
-        scanned = scan_csv(self.spark, f"{self.folder}/{source.files}", source)
+        scanned = scan_csv(self.spark, f"{self.folder}/{source.files}", source, placed=True)
         checked = typed(scanned, source)
         if source.parent:
             column, parent = source.parent
@@ -65,7 +66,7 @@ class StagingLoad:
         # Written once, since the counts, the good rows and the rejects are three readings.
         checked = self.store.written(f"{table}__checked", checked)
         counts = load_counts(checked, source.key).first()
-        self.store.replace(f"{table}__rejects", rejected(checked))
+        self.store.replace(f"{table}__rejects", rejected(checked).drop(PLACE))
         self.store.replace(table, first_per_key(accepted(checked), source.key))
         loaded, errors = self.store.row_count(table), self.store.row_count(f"{table}__rejects")
         if errors == 0:

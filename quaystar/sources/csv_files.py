@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quaystar.operators.ingest import null_tokens
+from quaystar.operators.ingest import PLACE, null_tokens
 from quaystar.schema import Source
 from quaystar.session import shared_folder
 
@@ -21,24 +21,35 @@ ENDS_OUTSIDE = rf"^(?:{_FIELD},)*+{_FIELD}\z"
 CLOSES = rf"^{_INSIDE}(?:,{_FIELD})*+\z"
 
 
-def scan_csv(spark: SparkSession, path: str, source: Source) -> DataFrame:
-    """The source's columns by header name, null tokens resolved; header names may carry quotes or the mark.
+def scan_csv(spark: SparkSession, path: str, source: Source, placed: bool = False) -> DataFrame:
+    """The source's columns by header name, null tokens resolved; header names may carry quotes or the mark. With `placed`
+    also PLACE, which sorts the rows as they stand in the files, and the files by path.
 
     Every file is read by its own header, so files may differ in the order of their columns. The headers are read file by
     file, one row each; files of the same header are scanned together.
     """
     scans = None
     for columns, files in _files_by_header(spark, path).items():
-        rows = scan_split_csv(spark, files, list(columns)) if source.free_text else spark.read.options(header=True, **OPTIONS).csv(files)
+        if source.free_text:
+            rows, place = scan_split_csv(spark, files, list(columns), placed), F.col(PLACE)
+        else:
+            # A block is read from its start to its end by one task, so the numbers within it rise.
+            rows, place = spark.read.options(header=True, **OPTIONS).csv(files), _place(F.monotonically_increasing_id())
         named = {name.strip(BYTE_ORDER_MARK).strip('"'): F.col(f"`{name}`") for name in rows.columns}
         missing = [column.name for column in source.columns if column.name not in named]
         if missing:
             raise ValueError(f"{files[0]}: no column {', '.join(missing)}")
-        scan = null_tokens(rows.select(*[named[column.name].alias(column.name) for column in source.columns]))
+        chosen = [named[column.name].alias(column.name) for column in source.columns]
+        scan = null_tokens(rows.select(*chosen, *([place.alias(PLACE)] if placed else [])))
         scans = scan if scans is None else scans.unionByName(scan)
     return scans
 
 
+def _place(number: Column) -> Column:
+    file, block = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
+    return F.struct(file, block, number.alias("number"))
+
+
 def _files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
     """Files listed, not read: the content column is left out."""
     found: dict[tuple[str, ...], list[str]] = {}
@@ -71,13 +82,14 @@ def _states(rows: DataFrame, partition: list[str], order: str, out0: str, out1:
     )
 
 
-def scan_split_csv(spark: SparkSession, files: str | list[str], columns: list[str]) -> DataFrame:
+def scan_split_csv(spark: SparkSession, files: str | list[str], columns: list[str], placed: bool = False) -> DataFrame:
     """CSV whose quoted values hold line breaks, read in blocks like any text file.
 
     The multiLine option reads a file in one task. Here every line is read on its own; a line starts a record if it does
     not begin inside a quoted value. Per block the lines are followed for both states in which it may begin, the blocks
     of a file are chained (one row per block), and only records of several lines are grouped. A quote in a value that is
-    not quoted is an ordinary character. A file that ends inside a quoted value is refused.
+    not quoted is an ordinary character. A file that ends inside a quoted value is refused. With `placed` the rows come
+    with PLACE, that of their first line.
     """
     text = F.regexp_replace("value", "\\r\\z", "")
     after = [F.when(text.rlike(pattern), 0).otherwise(1) for pattern in (ENDS_OUTSIDE, CLOSES)]
@@ -130,17 +142,17 @@ def scan_split_csv(spark: SparkSession, files: str | list[str], columns: list[st
         )
     )
     state = F.when(F.col("block_state") == 0, F.col("from0")).otherwise(F.col("from1"))
-    placed = (
+    lines_at = (
         numbered.join(chained, ["file", "block"])
         .withColumn("starts", state + F.coalesce("refused", F.lit(0)) == 0)
         .where(~((F.col("block") == 0) & (F.col("line") == 1)))  # the header
     )
     whole = F.col("starts") & (F.col("out0") == 0)
-    alone = placed.where(whole).select("value")
+    alone = lines_at.where(whole).select("value", F.struct("file", "block", F.col("line").cast("long").alias("number")).alias(PLACE))
     # The start of the record a line belongs to: in its block, or carried over from an earlier one.
     up_to_here = Window.partitionBy("file", "block").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
     start = F.max(F.when(F.col("starts"), F.col("line"))).over(up_to_here)
-    pieces = placed.withColumn("start", start).where(~whole)
+    pieces = lines_at.withColumn("start", start).where(~whole)
     joined = (
         pieces.withColumn(
             "record",
@@ -150,14 +162,19 @@ def scan_split_csv(spark: SparkSession, files: str | list[str], columns: list[st
         )
         .groupBy("file", "record")
         .agg(F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("lines"))
-        .select(F.array_join(F.col("lines.value"), "\n").alias("value"))
+        .select(
+            F.array_join(F.col("lines.value"), "\n").alias("value"),
+            F.struct("file", F.col("record.block").alias("block"), F.col("record.last_line").cast("long").alias("number")).alias(PLACE),
+        )
     )
     schema = ", ".join(f"`c{i}` string" for i in range(len(columns)))
     records = (
         alone.unionByName(joined)
-        .select(F.regexp_replace("value", "\\r\\z", "").alias("value"))
+        .select(F.regexp_replace("value", "\\r\\z", "").alias("value"), PLACE)
         .where(F.col("value") != "")
     )
     # As a generator, each record is parsed once; as a plain expression it would be once per use of a column.
     parsed = F.from_csv("value", schema, {**OPTIONS, "multiLine": "true"})
+    if placed:
+        return records.select(F.inline(F.array(parsed)), PLACE).toDF(*columns, PLACE)
     return records.select(F.inline(F.array(parsed))).toDF(*columns)

@@ -4,6 +4,7 @@ import random
 import pytest
 
 from quaystar.schema import SOURCES, Source, text
+from quaystar.operators.ingest import PLACE, first_per_key
 from quaystar.sources.csv_files import scan_csv, scan_split_csv
 
 NOTES = Source("notes", "*.csv", (text("id"), text("note"), text("tail")), ("id",), free_text=True)
@@ -86,3 +87,23 @@ def test_missing_column_is_named(spark, tmp_path):
     (tmp_path / "x.csv").write_text("seller_id\n1\n", encoding="utf-8")
     with pytest.raises(ValueError, match="seller_city"):
         scan_csv(spark, str(tmp_path), SOURCES["sellers"])
+
+
+def test_places_follow_the_files(spark, tmp_path, small_blocks):
+    """Rows of two files, cut into many blocks, come in the order of their places as they were written; so do records of
+    several lines, and the first of a key is the first in the files."""
+    records = [(f"k{k % 40}", f"{(7 * k) % 400:03}", f"a\nb{k}" if k % 3 else "c") for k in range(1200)]
+    for name, part in (("a.csv", records[:750]), ("b.csv", records[750:])):
+        text = "".join(f'{a},{b},"{c}"\n' for a, b, c in part)
+        (tmp_path / name).write_text("id,note,tail\n" + text)
+    whole = NOTES, records
+    plain = tmp_path / "plain"
+    plain.mkdir()
+    (plain / "a.csv").write_text("id,note,tail\n" + "".join(f"{a},{b},{c[:1]}\n" for a, b, c in records))
+    flat = LINES, [(a, b, c[:1]) for a, b, c in records]
+    for folder, (source, expected) in ((f"{tmp_path}/*.csv", whole), (str(plain), flat)):
+        scanned = scan_csv(spark, folder, source, placed=True)
+        assert scanned.select(f"{PLACE}.block").distinct().count() > 2
+        assert [tuple(row) for row in scanned.orderBy(PLACE).drop(PLACE).collect()] == expected
+        first = first_per_key(scanned, ["id"])
+        assert sorted(map(tuple, first.collect())) == sorted(expected[:40]) and PLACE not in first.columns

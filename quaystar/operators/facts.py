@@ -233,8 +233,11 @@ def monthly_sales(
     """
     amount = F.coalesce("total_item_value", F.lit(0)) + F.coalesce("freight_value", F.lit(0))
     category = F.coalesce("category_name_en", F.lit("Unknown")).alias("category_name_en")
+    # Placed by order_id once: that serves the grouping and the join on order_id below, so these rows, the largest
+    # between the steps, are shuffled once and not twice.
     per_order = (
         fact_items.join(dim_product.select("product_key", category), "product_key")
+        .repartition("order_id")
         .groupBy("order_id", "order_date_key", "category_name_en", "seller_key")
         .agg(
             F.count("*").alias("lines"),

@@ -9,8 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from quaystar.session import shared_folder
 
@@ -130,7 +134,6 @@ def positions_in_group(rows: DataFrame, group: str, order: Sequence[str], name:
     shared_folder(rows.sparkSession)
     written = rows.repartitionByRange(group, *order).sortWithinPartitions(group, *order).checkpoint()
     placed = written.withColumn("_part", F.spark_partition_id()).withColumn("_index", F.monotonically_increasing_id())
-    inside = F.row_number().over(Window.partitionBy("_part", group).orderBy("_index"))
     of_part = placed.groupBy("_part", F.col(group).alias("_group")).agg(F.count("*").alias("_rows"), F.min("_index").alias("_from"))
     in_part = Window.partitionBy("_part")
     edges = of_part.withColumn("_first", F.min("_from").over(in_part)).withColumn("_last", F.max("_from").over(in_part))
@@ -138,8 +141,36 @@ def positions_in_group(rows: DataFrame, group: str, order: Sequence[str], name:
     earlier = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     before = edges.select("_group", F.col("_part").alias("_of"), F.sum("_rows").over(earlier).alias("_before"))
     before = F.broadcast(before.where("_before > 0"))
+    # The rows of a group lie next to each other in a partition, so they are numbered where they are, without a shuffle.
+    inside = placed.mapInArrow(_numbered_runs(group), StructType([*placed.schema.fields, StructField("_inside", LongType())]))
     return (
-        placed.withColumn("_inside", inside)
-        .join(before, (F.col("_part") == F.col("_of")) & F.col(group).eqNullSafe(F.col("_group")), "left")
+        inside.join(before, (F.col("_part") == F.col("_of")) & F.col(group).eqNullSafe(F.col("_group")), "left")
         .select(*rows.columns, (F.col("_inside") + F.coalesce("_before", F.lit(0))).cast("int").alias(name))
     )
+
+
+def _numbered_runs(group: str):
+    """1, 2, 3, … along each run of equal `group` values (NULL equal to NULL) in a partition, also across its batches."""
+
+    def number(batches):
+        last, carried = None, 0  # the group value that ended the batch before, and its rows so far
+        for batch in batches:
+            keys, n = batch.column(group), batch.num_rows
+            if n == 0:
+                yield batch.append_column("_inside", pa.array([], pa.int64()))
+                continue
+            previous = keys.slice(0, 1) if last is None else last
+            before = pa.concat_arrays([previous, keys.slice(0, n - 1)])
+            differs = pc.fill_null(pc.not_equal(keys, before), pc.xor(pc.is_null(keys), pc.is_null(before)))
+            starts = np.asarray(differs.to_numpy(zero_copy_only=False), dtype=bool)
+            if last is None:
+                starts[0] = True
+            index = np.arange(n)
+            position = index - np.maximum.accumulate(np.where(starts, index, 0)) + 1
+            if not starts[0]:
+                first_run = np.argmax(starts) if starts.any() else n
+                position[:first_run] += carried
+            last, carried = keys.slice(n - 1, 1), int(position[-1])
+            yield batch.append_column("_inside", pa.array(position, pa.int64()))
+
+    return number

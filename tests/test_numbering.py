@@ -93,3 +93,25 @@ def test_keys_in_files(spark, tmp_path):
     assert sorted(row.key for row in found) == list(range(101, 1101))
     assert sorted(row.id for row in found) == list(range(1000))
     assert sorted(map(tuple, keyed.collect())) == sorted(map(tuple, found))
+
+
+def test_positions_in_group_do_not_shuffle_all_rows_again(spark):
+    """Rows lie by group after the range partitioning; numbering them there needs no second shuffle of all rows."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        keys = [None, None, 1, 1, 1, 1, 1, 1, 1, 1, 1, 2, 2, 3, None]
+        frame = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id long, order_key long")
+        numbered = positions_in_group(frame, "order_key", ["id"], "n")
+        found = {row.id: row.n for row in numbered.collect()}
+        plan = numbered._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    seen, expected = {}, {}
+    for i, k in enumerate(keys):
+        seen[k] = seen.get(k, 0) + 1
+        expected[i] = seen[k]
+    assert found == expected
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    # The counts per partition and group are shuffled; before, all rows were too, once more, for a window.
+    assert len([line for line in shuffles if "order_key#" in line and "_part#" in line]) == 1, shuffles

@@ -82,3 +82,25 @@ def test_repeated_queries_and_neighbours(spark):
         assert len({i for i, _ in found[0]}) == 10 and sorted(found[0], key=lambda x: x[1]) == found[0]
         assert len({i for i, _ in found[0]} & {i for _, i in expected}) >= 9
         assert all(d == best[i] for i, d in found[0])
+
+
+def test_queries_do_not_pass_through_the_driver(spark):
+    """Blocks of queries are neither broadcast nor copied by a shuffle for each block, and tasks don't grow with the pairs."""
+    pick = np.random.default_rng(9)
+    rows = [(k, pick.normal(size=4).tolist()) for k in range(400)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    how = Index(query_step=10, radius=1.0, block_rows=10, query_rows=2, block_tasks=3, query_tasks=2)  # 40 blocks, 20 of queries
+    found = hamming_index.nearest(frame, how)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "CartesianProduct" in plan and "Coalesce 3" in plan and "Coalesce 2" in plan
+    assert plan.count("Exchange") == 1  # what was found, by its query
+    assert by_query(found) == brute_force(rows, 10)
+
+
+def test_blocks_of_bounded_tasks(spark):
+    """More blocks than tasks that deal them out: every row in one block, and blocks of about the size asked for."""
+    rows = spark.range(1000).selectExpr("id", "array(id * 1.0D, 1.0D) vector")
+    blocks = hamming_index._packed(rows, 30, "test_blocks", "f8", most=4).collect()
+    assert len({row.block for row in blocks}) == len(blocks) and all(15 <= len(row.ids) // 8 <= 60 for row in blocks)
+    held = [(i, tuple(v)) for row in blocks for i, v in zip(np.frombuffer(row.ids, "i8").tolist(), np.frombuffer(row.vectors).reshape(-1, 2).tolist(), strict=True)]
+    assert sorted(held) == [(k, (float(k), 1.0)) for k in range(1000)]

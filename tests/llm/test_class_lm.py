@@ -173,3 +173,35 @@ def test_blocks_are_not_shuffled_for_each_round(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning(block") == 1
     check_base(lm.scored(docs, model=model).collect(), rows)
+
+
+def test_every_training_word_has_a_class(spark, monkeypatch):
+    """Words that are seen once are classed as well, each by one class in all blocks; only words never seen are not."""
+    rows = [(doc, f"{text} once{doc} twice{doc // 2}") for doc, text in phrases(5, 80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = {}
+    original = lm._scores
+    monkeypatch.setattr(lm, "_scores", lambda blocks, counts, classes, of: kept.update(blocks=blocks, classes=classes, of=of) or original(blocks, counts, classes, of))
+    check_base(lm.scored(docs, model=lm.Classes(words=5, block_tokens=700)).collect(), rows)
+    words = {row.block: [bytes(entry.word) for entry in row.entries] for row in kept["blocks"].collect()}
+    cls = {}
+    for row in kept["classes"].where("pos is not null").collect():
+        for pos, c in zip(lm._unpack(bytes(row.pos), "i4"), lm._unpack(bytes(row.cls), "u2")):
+            assert cls.setdefault(words[row.block][pos], int(c)) == c >= lm.FIRST
+    held = {row[0] for row in base(rows) if row[1]}
+    seen = Counter(t for doc, text in rows if doc not in held for t in tokens_of(text))
+    assert held and set(cls) == set(seen) - {lm.END}
+    unseen = 1 / (kept["of"].tokens + len(seen) + 1)  # as single words have it
+    assert 10 ** kept["of"].transitions[:, lm.RARE] == pytest.approx(np.full(7, unseen))
+    assert (10 ** kept["of"].transitions).sum(1) == pytest.approx(np.ones(7))
+
+
+def test_moves_of_several_words_add_up():
+    rng = np.random.default_rng(6)
+    matrix, vecs = rng.integers(50, 90, (6, 6)), rng.integers(0, 4, (20, 13))
+    old, new = rng.integers(2, 6, 20), rng.integers(2, 6, 20)
+    one, all_ = matrix.copy(), matrix.copy()
+    for k in range(20):
+        lm.moved(one, old[k], new[k], vecs[k])
+    lm.moved(all_, old, new, vecs)
+    assert (one == all_).all()
